@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import json_path, text_to_epoch
 from millrace.operators.dedup import latest_per_key
 
 LOG_COLUMNS = ("change_type", "version", "commit_timestamp", "operation")
@@ -106,38 +107,24 @@ def merge_upsert(
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row change feed between two states of a table whose rows are unique by ``keys``.
 
-    One pass over a full outer join on null-safe keys; unchanged rows yield nothing.
+    Both states are grouped by all columns in one shuffle, where equal rows cancel out;
+    only changed rows go on to be paired by key, at most two per key. Unlike a full
+    outer join this treats NULL keys as keys and cannot blow up when a state holds a key
+    many times over: each different row is then reported once.
     """
     columns = old.columns
-    values = [c for c in columns if c not in keys]
-
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(prefix + c) for c in columns], F.lit(True).alias(prefix))
-
-    a, b = side(old, "__old_"), side(new, "__new_")
-    same_key = [F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}")) for k in keys]
-    both = a.join(b, same_key, "full_outer")
-
-    def image(kind: str, prefix: str) -> Column:
-        fields = [F.col(prefix + c).alias(c) for c in columns]
-        return F.struct(F.lit(kind).alias("change_type"), *fields)
-
-    differs = reduce(
-        lambda x, y: x | y,
-        [~F.col(f"__old_{c}").eqNullSafe(F.col(f"__new_{c}")) for c in values],
-        F.lit(False),
-    )
-    feed = (
-        F.when(F.col("__new_").isNull(), F.array(image("delete", "__old_")))
-        .when(F.col("__old_").isNull(), F.array(image("insert", "__new_")))
-        .when(
-            differs,
-            F.array(image("update_preimage", "__old_"), image("update_postimage", "__new_")),
-        )
-    )
-    return both.select(F.explode(feed).alias("__c")).select(
-        *[F.col(f"__c.{c}").alias(c) for c in columns], F.col("__c.change_type").alias("change_type")
+    sides = old.withColumn("__side", F.lit(-1)).unionByName(new.withColumn("__side", F.lit(1)))
+    changed = sides.groupBy(*columns).agg(F.sum("__side").alias("__net")).where("__net <> 0")
+    row = Window.partitionBy(*keys)
+    updated = (F.min("__net").over(row) < 0) & (F.max("__net").over(row) > 0)
+    before = F.col("__net") < 0
+    change = (
+        F.when(before & F.col("__updated"), "update_preimage")
+        .when(F.col("__updated"), "update_postimage")
+        .when(before, "delete")
+        .otherwise("insert")
     )
+    return changed.withColumn("__updated", updated).select(*columns, change.alias("change_type"))
 
 
 def log_version(
@@ -220,23 +207,23 @@ def table_mismatch(left: DataFrame, right: DataFrame) -> DataFrame:
     instead of two anti joins: copies of a row collapse before the shuffle, and each
     table is read and shuffled once.
     """
-    columns = left.columns
     tagged = left.withColumn("__left", F.lit(1)).unionByName(right.withColumn("__left", F.lit(0)))
-    seen = tagged.groupBy(*columns).agg(
-        F.max("__left").alias("__in_left"), F.min("__left").alias("__min")
-    )
-    one_side = seen.where(F.col("__in_left") == F.col("__min"))
-    return one_side.select(
-        *columns, F.when(F.col("__in_left") == 1, "left").otherwise("right").alias("side")
+    seen = tagged.groupBy(*left.columns).agg(
+        F.max("__left").alias("__max"), F.min("__left").alias("__min")
     )
+    side = F.when(F.col("__max") == 1, "left").otherwise("right").alias("side")
+    return seen.where(F.col("__max") == F.col("__min")).select(*left.columns, side)
+
+
+def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of ``left`` that ``right`` has not (EXCEPT), by the same grouping."""
+    return table_mismatch(left, right).where("side = 'left'").drop("side")
 
 
 def repair_from_rescued(
     df: DataFrame, column: str = "ts", rescued: str = "_rescued_data"
 ) -> DataFrame:
     """Fill a NULL epoch column from the time text kept in the rescued JSON."""
-    from millrace.functions.columns import json_path, text_to_epoch
-
     return update_rows(
         df,
         {column: text_to_epoch(json_path(rescued, column))},

@@ -270,8 +270,7 @@ def table_mismatch(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{LEFT_PARTS} EXCEPT {RIGHT_PARTS}")
 def except_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    left, right = _two_parts(spark, sf)
-    return left.subtract(right)
+    return changes.except_rows(*_two_parts(spark, sf))
 
 
 @query(f"{LEFT_PARTS} UNION {RIGHT_PARTS}")
