@@ -53,7 +53,10 @@ def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 
 def sample_schema(spark: SparkSession, path: str, max_files: int = 4) -> StructType:
-    """Schema of a few staged Parquet files, to be kept for a stream over the folder."""
+    """Schema of the oldest few staged Parquet files, for a stream over the folder.
+
+    It costs a few footers however much is staged, and stays the same as files arrive.
+    """
     files = file_inventory(spark, path, "*.parquet").orderBy("modificationTime", "path")
     chosen = [r["path"] for r in files.select("path").limit(max_files).collect()]
     if not chosen:
@@ -62,7 +65,7 @@ def sample_schema(spark: SparkSession, path: str, max_files: int = 4) -> StructT
 
 
 def sample_fields(spark: SparkSession, path: str, max_files: int = 4) -> list[str]:
-    """Top-level field names found in a few JSON-lines files."""
+    """Top-level field names of the oldest few JSON-lines files."""
     files = file_inventory(spark, path).orderBy("modificationTime", "path")
     chosen = [r["path"] for r in files.select("path").limit(max_files).collect()]
     if not chosen:

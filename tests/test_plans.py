@@ -1,0 +1,132 @@
+import pytest
+from fixtures import ITEMS, sale, stores, write_lines
+from pyspark.sql import functions as F
+
+from millrace.plans.checked_sales import CheckedSales
+from millrace.plans.lakehouse import Lakehouse, with_country
+
+
+@pytest.fixture
+def data(spark, tmp_path):
+    stores(spark).coalesce(1).write.option("header", True).csv(str(tmp_path / "stores.csv"))
+    stores(spark).coalesce(1).write.json(str(tmp_path / "stores.json"))
+    users = spark.createDataFrame(
+        [(1, "SYD01", "Ann", "a@example.org"), (2, "SYD01", "Bob", "b@example.org"), (1, "AKL01", "Cy", "c@example.org")],
+        "id int, store_id string, name string, email string",
+    )
+    users.coalesce(1).write.option("header", True).csv(str(tmp_path / "users.csv"))
+    users.coalesce(1).write.json(str(tmp_path / "users.json"))
+    write_lines(tmp_path / "products.json", [{"id": "Green", "name": "Green", "ingredients": ["Apple"]}])
+    return tmp_path
+
+
+def test_store_countries(spark):
+    counts = with_country(stores(spark)).groupBy("country_code").count().collect()
+    assert {tuple(r) for r in counts} == {("AUS", 6), ("NZL", 3)}
+
+
+def test_lakehouse(spark, data):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    spark.sql("USE lake")
+    try:
+        lake = Lakehouse(spark, str(data / "lake"))
+        assert lake.land_stores(str(data / "stores.csv")).count() == 9
+        customers = lake.land_customers(str(data / "users.csv"))
+        assert {r["unique_id"] for r in customers.collect()} == {"SYD01-1", "SYD01-2", "AKL01-1"}
+        assert lake.land_products(str(data / "products.json")).count() == 1
+
+        landing = data / "landing"
+        write_lines(
+            landing / "sales_1.json",
+            [
+                sale("s1", state="PENDING"),
+                sale("s2", customer=2, items=ITEMS[:1]),
+                sale("s3", customer=None, store="AKL01", items="junk"),
+                "not json at all",
+            ],
+        )
+        lake.ingest_sales(str(landing))
+        first = lake.refresh_sales()
+        before = {r["id"]: r for r in first.where("id IS NOT NULL").collect()}
+        assert set(before) == {"s1", "s2", "s3"}
+        assert before["s1"]["order_state"] == "PENDING"
+
+        # the store re-sends its pending sale, closed, with the time as text
+        write_lines(
+            landing / "SYD01" / "2022-01-01" / "fixed.json",
+            [sale("s1", ts="2022-01-01 00:00:00", state="CANCELED", exported_ts=1641000000, extra="x")],
+        )
+        lake.ingest_sales(str(landing))
+        fixed = lake.bronze_sales.where("STATE = 'CANCELED'").first()
+        assert fixed["ts"] == 1640995200 and "2022-01-01" in fixed["_rescued_data"]
+        after = {r["id"]: r for r in lake.refresh_sales().where("id IS NOT NULL").collect()}
+        assert after["s1"]["order_state"] == "CANCELED" and after["s1"]["ts"] == "2022-01-01 00:00:00"
+        assert after["s2"]["row_hash"] == before["s2"]["row_hash"] and len(after) == 3
+        again = {r["id"]: r for r in lake.refresh_sales().where("id IS NOT NULL").collect()}
+        assert again == after
+
+        gold = lake.build_gold()
+        assert {tuple(r) for r in gold["gold_country_sales"].collect()} == {("AUS", "2022-01", 15.25, 2)}
+        top = gold["top3"].collect()
+        assert [(r["customer_name"], r["customer_spend"], r["customer_rank"]) for r in top] == [
+            ("Ann", 10.75, 1),
+            ("Bob", 4.5, 2),
+        ]
+        props = spark.sql("SHOW TBLPROPERTIES gold_country_sales").collect()
+        assert ("quality", "gold") in {tuple(p) for p in props}
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE lake CASCADE")
+
+
+def test_following_sales_stops_when_told(spark, data):
+    lake = Lakehouse(spark, str(data / "lake2"))
+    write_lines(data / "landing2" / "a.json", [sale("s1")])
+    query = lake.follow_sales(str(data / "landing2"), "100 milliseconds")
+    try:
+        query.processAllAvailable()
+        assert lake.bronze_sales.count() == 1
+    finally:
+        query.stop()
+    assert not query.isActive
+
+
+def test_checked_sales(spark, data):
+    spark.sql("CREATE DATABASE IF NOT EXISTS checked")
+    spark.sql("USE checked")
+    try:
+        pipeline = CheckedSales(spark, str(data / "landing"), str(data), str(data / "checked"))
+        write_lines(
+            data / "landing" / "sales_1.json",
+            [sale("s1"), sale("s2", customer=2, state="PENDING"), sale("s3", store="AKL01", state="CANCELED")],
+        )
+        tables = pipeline.update()
+        # the pending sale is dropped, its items are not; canceled sales count
+        assert {r["id"] for r in tables["silver_sales"].collect()} == {"s1", "s3"}
+        assert tables["silver_sale_items"].count() == 6
+        assert {tuple(r) for r in tables["country_sales"].collect()} == {("AUS", 21.5, 2), ("NZL", 10.75, 1)}
+        assert {tuple(r) for r in tables["country_monthly_sales"].collect()} == {
+            ("AUS", "2022-01", 10.75, 1),
+            ("NZL", "2022-01", 10.75, 1),
+        }
+        assert tables["user_profile"].count() == 2
+        assert tables["products"].count() == 1
+        counts = {r["name"]: (r["passed_records"], r["failed_records"]) for r in pipeline.quality().collect()}
+        assert counts == {
+            "Location has to be 5 characters long": (3, 0),
+            "Only CANCELED and COMPLETED transactions are allowed": (2, 1),
+            "All custom juice must have ingredients": (3, 3),
+        }
+
+        write_lines(data / "landing" / "SYD01" / "day" / "more.json", [sale("s4")])
+        tables = pipeline.update()
+        assert tables["silver_sales"].count() == 3
+        assert tables["country_sales"].where("country_code = 'AUS'").first()["number_of_sales"] == 3
+
+        write_lines(data / "landing" / "bad.json", [sale("s5", store="SYD001")])
+        with pytest.raises(Exception, match="5 characters"):
+            pipeline.update()
+        assert spark.read.parquet(str(data / "checked" / "silver_sales")).where("id = 's5'").count() == 0
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE checked CASCADE")
