@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.cdc import GLOBAL_ORDER, decode_changes, live_rows, scd1_state, scd2
+from millrace.operators.cdc import decode_changes, live_rows, scd2, scd2_refresh
 from millrace.sources.files import sample_schema
 from millrace.sources.streams import stream_parquet
 from millrace.streaming.runs import run_once
@@ -55,11 +55,11 @@ class CdcTables:
         return sample_schema(self.spark, self.staged)
 
     def load(self, load_id: int) -> None:
-        """Staged files to bronze, bronze to decoded history, then the SCD1 state.
+        """Staged files to bronze, bronze to decoded history, then both SCD tables.
 
         ``load_id`` must grow from load to load. A load that died is finished by the
-        next one: the streams go on from their checkpoints, and the state takes in every
-        load after the last it holds.
+        next one: the streams go on from their checkpoints, and each table takes in
+        every load after the last it holds.
         """
         staged = stream_parquet(self.spark, self.staged, self.schema)
         run_once(staged, f"{self.root}/bronze", f"{self.root}/_checkpoints/bronze")
@@ -70,26 +70,39 @@ class CdcTables:
             f"{self.root}/_checkpoints/history",
             load_id,
         )
-        done, folder = self._last_state()
-        old = None if folder is None else self.spark.read.parquet(folder)
-        arrived = read_history(self.spark, f"{self.root}/history", done)
-        state = fold_scd1(old, arrived, self.spec.keys)
-        fresh = f"{self.root}/scd1_state/{uuid.uuid4().hex}"
-        state.write.mode("errorifexists").parquet(fresh)
-        # Only a state written to the end gets a line here, so a broken one is never read.
-        line = self.spark.createDataFrame([(load_id, fresh)], "load_id long, folder string")
-        line.write.mode("append").parquet(f"{self.root}/scd1_states")
-
-    def _last_state(self) -> tuple[int | None, str | None]:
-        """Load number and folder of the newest complete SCD1 state."""
+        keys = self.spec.keys
+        done, state = self._published("scd1_state")
+        self._publish("scd1_state", fold_scd1(state, self._arrived(done), keys), load_id)
+        done, current = self._published("scd2")
+        if current is None:
+            second = scd2(self.history, keys)
+        else:
+            second = scd2_refresh(current, self.history, self._arrived(done), keys)
+        self._publish("scd2", second, load_id)
+
+    def _arrived(self, done: int | None) -> DataFrame:
+        return read_history(self.spark, f"{self.root}/history", done)
+
+    def _publish(self, name: str, df: DataFrame, load_id: int) -> None:
+        """Write a table to a new folder, then note the folder.
+
+        Only a table written to the end is noted, so a broken one is never read.
+        """
+        folder = f"{self.root}/{name}/{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(folder)
+        note = self.spark.createDataFrame([(load_id, folder)], "load_id long, folder string")
+        note.write.mode("append").parquet(f"{self.root}/{name}_notes")
+
+    def _published(self, name: str) -> tuple[int | None, DataFrame | None]:
+        """Load number and content of the newest complete table."""
         try:
-            states = self.spark.read.parquet(f"{self.root}/scd1_states")
+            notes = self.spark.read.parquet(f"{self.root}/{name}_notes")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None, None
-        last = states.agg(F.max(F.struct("load_id", "folder")).alias("s")).first()["s"]
-        return last["load_id"], last["folder"]
+        last = notes.agg(F.max(F.struct("load_id", "folder")).alias("n")).first()["n"]
+        return last["load_id"], self.spark.read.parquet(last["folder"])
 
     @property
     def bronze(self) -> DataFrame:
@@ -107,14 +120,12 @@ class CdcTables:
     @property
     def scd1(self) -> DataFrame:
         """SCD type 1 as of the last load."""
-        folder = self._last_state()[1]
-        if folder is None:
-            return live_rows(scd1_state(self.history, self.spec.keys))
-        return live_rows(self.spark.read.parquet(folder))
+        return live_rows(self._published("scd1_state")[1])
 
     @property
     def scd2(self) -> DataFrame:
-        return scd2(self.history, self.spec.keys, order=GLOBAL_ORDER)
+        """SCD type 2 as of the last load."""
+        return self._published("scd2")[1]
 
 
 def build_cdc(

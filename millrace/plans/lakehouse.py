@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.columns import classify
@@ -92,16 +93,46 @@ class Lakehouse:
         return repair_from_rescued(self.spark.read.parquet(self.bronze_path))
 
     def refresh_sales(self) -> DataFrame:
-        """Merge the latest state of each sale into silver, and renew the items from it."""
-        latest = clean_sales(self.bronze_sales, tie_breakers=("inserted_at", "file_path"))
-        if self.spark.catalog.tableExists("silver_sales"):
-            target = self.spark.table("silver_sales")
+        """Bring silver sales and their items up to date with bronze.
+
+        Only sales that arrived since the last refresh are derived anew, from all their
+        exports, and merged into silver; the items of those sales are replaced. With a
+        small arrival neither bronze nor silver is shuffled.
+        """
+        spark = self.spark
+        bronze = self.bronze_sales
+        done = self._refreshed()
+        if done is None:
+            latest = self._latest(bronze)
+            sales = self._save(latest, "silver", "silver_sales")
+            self._save(explode_items(sales), "silver", "silver_sale_items")
+        else:
+            arrived = bronze.where(F.col("inserted_at") > F.lit(done))
+            touched = arrived.select("SaleID").distinct()
+            latest = self._latest(bronze.join(touched, "SaleID", "left_semi"))
             # the source has one row per sale by construction
-            latest = merge_upsert(target, latest, ["id"], check_source=False)
-        sales = self._save(latest, "silver", "silver_sales")
-        self._save(explode_items(sales), "silver", "silver_sale_items")
+            merged = merge_upsert(
+                spark.table("silver_sales"), latest, ["id"], check_source=False
+            )
+            touched = touched.withColumnRenamed("SaleID", "sale_id")
+            kept = spark.table("silver_sale_items").join(touched, "sale_id", "left_anti")
+            items = kept.unionByName(explode_items(latest))
+            sales = self._save(merged, "silver", "silver_sales")
+            self._save(items, "silver", "silver_sale_items")
+        mark = bronze.agg(F.max("inserted_at").alias("upto"))
+        mark.write.mode("append").parquet(f"{self.root}/silver/_refreshes")
         return sales
 
+    def _latest(self, bronze: DataFrame) -> DataFrame:
+        return clean_sales(bronze, tie_breakers=("inserted_at", "file_path"))
+
+    def _refreshed(self):
+        """Ingest time of the newest batch in silver; batches come one after the other."""
+        if not self.spark.catalog.tableExists("silver_sales"):
+            return None
+        marks = self.spark.read.parquet(f"{self.root}/silver/_refreshes")
+        return marks.agg(F.max("upto").alias("upto")).first()["upto"]
+
     def build_gold(self) -> dict[str, DataFrame]:
         table = self.spark.table
         items, sales = table("silver_sale_items"), table("silver_sales")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.operators import cdc
 from millrace.operators.changes import table_mismatch
 from millrace.operators.skew import next_in_key
+from millrace.plans.cdc_tables import TableSpec, build_cdc
 from millrace.registry.base import query, table
 from millrace.session import scratch_path
 from millrace.sources.streams import stream_parquet
@@ -128,6 +129,21 @@ def scd2(spark: SparkSession, sf: str) -> DataFrame:
     return _seq_bounds(cdc.scd2(cdc.decode_changes(captured(spark, sf)), ["user_id"]))
 
 
+def _agreement(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Rows of the first table of each pair, and rows that only one of the two has."""
+    lines = []
+    for name, (one, other) in pairs.items():
+        rows = (one, F.lit(1), F.lit(0))
+        odd = (table_mismatch(one, other), F.lit(0), F.lit(1))
+        for df, n, bad in (rows, odd):
+            lines.append(df.select(F.lit(name).alias("target"), n.alias("n"), bad.alias("bad")))
+    return (
+        reduce(DataFrame.unionByName, lines)
+        .groupBy("target")
+        .agg(F.sum("n").alias("total_rows"), F.sum("bad").alias("mismatches"))
+    )
+
+
 @query(
     f"""
 SELECT 'scd1' AS target, (SELECT count(*) FROM ({SCD1})) AS total_rows, 0 AS mismatches
@@ -148,16 +164,7 @@ def scd_convergence(spark: SparkSession, sf: str) -> DataFrame:
         return {"scd1": cdc.live_rows(state), "scd2": _seq_bounds(cdc.scd2(whole, ["user_id"]))}
 
     first, last = tables(loads), tables(loads[::-1])
-    lines = []
-    for name in first:
-        lines.append(first[name].select(F.lit(name).alias("target"), F.lit(1).alias("n"), F.lit(0).alias("bad")))
-        odd = table_mismatch(first[name], last[name])
-        lines.append(odd.select(F.lit(name).alias("target"), F.lit(0).alias("n"), F.lit(1).alias("bad")))
-    return (
-        reduce(DataFrame.unionByName, lines)
-        .groupBy("target")
-        .agg(F.sum("n").alias("total_rows"), F.sum("bad").alias("mismatches"))
-    )
+    return _agreement({name: (first[name], last[name]) for name in first})
 
 
 @query(
@@ -221,3 +228,29 @@ def scd2_refresh(spark: SparkSession, sf: str) -> DataFrame:
     before, arrived = changes.where("day < 28").drop("day"), changes.where("day >= 28").drop("day")
     current = cdc.scd2(before, ["user_id"])
     return _seq_bounds(cdc.scd2_refresh(current, changes.drop("day"), arrived, ["user_id"]))
+
+
+@query(
+    f"""
+SELECT 'scd1' AS target, (SELECT count(*) FROM ({SCD1})) AS total_rows, 0 AS mismatches
+UNION ALL
+SELECT 'scd2', (SELECT count(*) FROM ({SCD2})), 0
+UNION ALL
+SELECT 'history', (SELECT count(*) FROM ({CHANGES})), 0
+"""
+)
+def cdc_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two configured tables built from staged files that arrive in opposite orders."""
+    root = scratch_path(spark, "cdc_tables")
+    specs = [TableSpec("ordered", ("user_id",)), TableSpec("reversed", ("user_id",))]
+    tables = build_cdc(spark, specs, f"{root}/staged", f"{root}/out")
+    staged = as_capture(table(spark, sf, "events"), (F.dayofmonth("ts") < 16).alias("early"))
+    for load_id in range(2):
+        for name, early in (("ordered", load_id == 0), ("reversed", load_id == 1)):
+            part = staged.where(F.col("early") == F.lit(early)).drop("early")
+            part.write.mode("append").parquet(f"{root}/staged/{name}")
+            tables[name].load(load_id)
+    a, b = tables["ordered"], tables["reversed"]
+    return _agreement(
+        {"scd1": (a.scd1, b.scd1), "scd2": (a.scd2, b.scd2), "history": (a.history, b.history)}
+    )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import with_row_hash
 from millrace.operators import changes
 from millrace.registry.base import query, table
+from millrace.session import scratch_path
 
 
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,7 +130,7 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     return changes.snapshot_diff(old, raised.unionByName(added), ["o_orderkey"])
 
 
-def event_log(spark: SparkSession, sf: str) -> DataFrame:
+def event_log(spark: SparkSession, sf: str, *extra: Column) -> DataFrame:
     """Events as a change log of users: the day is the version, the type the change."""
     kind = F.col("event_type")
     return table(spark, sf, "events").select(
@@ -141,6 +144,7 @@ def event_log(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == "view", "update_preimage")
         .otherwise("update_postimage")
         .alias("change_type"),
+        *extra,
     )
 
 
@@ -176,6 +180,26 @@ def as_of_version(spark: SparkSession, sf: str) -> DataFrame:
     return changes.as_of(log, ["user_id"], version=10, order=("version", "event_id"))
 
 
+@query(
+    f"""
+SELECT user_id, value, props, event_id
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+      FROM (SELECT *, CASE event_type WHEN 'error' THEN 'delete' ELSE 'x' END AS change_type
+            FROM events WHERE ts < TIMESTAMP '2024-01-15 12:00:00' AND event_type <> 'view'))
+WHERE rn = 1 AND change_type <> 'delete'
+"""
+)
+def snapshot_at_time(spark: SparkSession, sf: str) -> DataFrame:
+    """The users' table as it was at a time, written as a copy of its own."""
+    path = scratch_path(spark, "snapshot_at_time")
+    log = event_log(spark, sf, F.col("ts").cast("timestamp").alias("commit_timestamp"))
+    moment = datetime(2024, 1, 15, 11, 59, 59, 999999)
+    changes.snapshot_to(
+        log, ["user_id"], path, timestamp=moment, order=("commit_timestamp", "event_id")
+    )
+    return spark.read.parquet(path)
+
+
 @query(
     f"""
 SELECT version, count(*) FILTER (change_type = 'insert') AS inserted_rows,

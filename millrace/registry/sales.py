@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import classify, composite_key
 from millrace.operators import gold
+from millrace.operators.items import clean_sales, explode_items
 from millrace.registry.base import money, query, table
 
 
@@ -132,3 +133,68 @@ def suppliers_per_country(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT source, count(*) AS number_of_records FROM documents GROUP BY source")
 def records_per_source(spark: SparkSession, sf: str) -> DataFrame:
     return gold.records_per_file(table(spark, sf, "documents"), "source")
+
+
+def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as two exports of raw sales: all as pending, then the closed ones again."""
+    closed = F.col("o_orderstatus") != "P"
+    number = F.substring("o_orderpriority", 1, 1).cast("int")
+    items = F.transform(
+        F.sequence(F.lit(1), number),
+        lambda i: F.struct(
+            F.lit("Green").alias("id"), (F.col("o_custkey") + i * 0.5).alias("cost")
+        ),
+    )
+    first = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("SaleID"),
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("ts"),
+        F.lit(None).cast("long").alias("exported_ts"),
+        F.concat(F.lit("S"), F.col("o_custkey") % 5).alias("Location"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey")).alias("CustomerID"),
+        F.lit("web").alias("OrderSource"),
+        F.lit("PENDING").alias("STATE"),
+        F.to_json(items).alias("SaleItems"),
+        F.when(closed, F.col("o_orderstatus")).alias("closed"),
+    )
+    second = first.where("closed IS NOT NULL").withColumns(
+        {"exported_ts": F.col("ts") + 1, "STATE": F.concat(F.lit("CLOSED "), "closed")}
+    )
+    return first.unionByName(second).drop("closed")
+
+
+SILVER = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ts,
+       'S' || (o_custkey % 5) AS store_id,
+       CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_custkey END AS customer_id,
+       'S' || (o_custkey % 5) || '-' ||
+           CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_custkey END AS unique_customer_id,
+       'web' AS order_source,
+       CASE WHEN o_orderstatus = 'P' THEN 'PENDING' ELSE 'CLOSED ' || o_orderstatus END AS order_state
+FROM orders
+"""
+
+
+@query(SILVER)
+def silver_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw sales exported twice, cleaned to the last export of each."""
+    return clean_sales(raw_sales(spark, sf)).drop("sale_items", "row_hash")
+
+
+@query(
+    """
+SELECT CASE WHEN o_custkey % 5 IN (0, 1) THEN 'AUS' WHEN o_custkey % 5 = 2 THEN 'NZL' END AS country_code,
+       strftime(o_orderdate, '%Y-%m') AS sales_month,
+       CAST(sum(CAST(o_custkey + 0.5 * (i + 1) AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+       count(DISTINCT o_orderkey) AS number_of_sales
+FROM (SELECT *, unnest(range(CAST(substr(o_orderpriority, 1, 1) AS INT))) AS i FROM orders)
+GROUP BY 1, 2
+"""
+)
+def raw_to_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole way: raw exports, silver sales, items from JSON, months by country."""
+    silver = clean_sales(raw_sales(spark, sf))
+    itemised = explode_items(silver, hashed=False).withColumn("product_cost", money("product_cost"))
+    places = spark.createDataFrame([(f"S{n}",) for n in range(5)], "id string").withColumn(
+        "country_code", classify("id", {"AUS": ("S0", "S1"), "NZL": ("S2",)})
+    )
+    return _double(gold.country_monthly_sales(itemised, silver, places), "total_sales")
