@@ -52,18 +52,17 @@ def global_sort(df: DataFrame, columns: Sequence[str] = ORDER_COLUMNS) -> DataFr
 def decode_changes(captured: DataFrame) -> DataFrame:
     """Readable changes: plain column names, named operations, no before-images.
 
-    Runs on tables and streams. An unknown operation code stays as NULL.
+    Runs on tables and streams, as one filter that reaches the scan and one projection.
+    An unknown operation code becomes NULL.
     """
-    operation = F.lit(None).cast("string")
-    for code, word in OPERATIONS.items():
-        operation = F.when(F.col("__operation") == code, word).otherwise(operation)
-    renamed = [F.col(c).alias(d) for c, d in zip(CAPTURE_COLUMNS, DECODED_COLUMNS)]
-    return (
-        with_global_order(captured)
-        .select("*", *renamed)
-        .drop(*CAPTURE_COLUMNS)
-        .where(F.col("__operation") != BEFORE_UPDATE)
-        .withColumn("__operation", operation)
+    code = F.col("__$operation")
+    words = F.create_map(*[F.lit(x) for pair in OPERATIONS.items() for x in pair])
+    decoded = {c: F.col(c) for c in CAPTURE_COLUMNS} | {"__$operation": F.element_at(words, code)}
+    payload = [c for c in captured.columns if c not in CAPTURE_COLUMNS]
+    return captured.where(code != BEFORE_UPDATE).select(
+        *payload,
+        F.struct(*ORDER_COLUMNS).alias(GLOBAL_ORDER),
+        *[column.alias(name) for name, column in zip(DECODED_COLUMNS, decoded.values())],
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.sources.files import file_inventory
 
-# Fixed value: largest file of the sample lab's compaction, 50 MB.
+# Fixed value: default file size of a compaction, 50 MB.
 TARGET_FILE_BYTES = 52_428_800
 # Rows looked at to choose the cut points of a clustering; the result never depends on it.
 BOUND_SAMPLE_ROWS = 20_000

@@ -28,7 +28,7 @@ def hot_keys(
 ) -> DataFrame:
     """Keys holding more than ``hot_rows`` rows and more than 1/``max_keys`` of all."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows").alias("__total")).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("__total")).scalar()
     limit = F.greatest(F.lit(float(hot_rows)), total / F.lit(max_keys))
     return counts.where(F.col("__rows") > limit).select(*keys)
 

@@ -26,7 +26,7 @@ from millrace.sources.files import query_path
 from millrace.sources.streams import stream_json, stream_parquet
 from millrace.streaming.runs import run_once
 
-# Names and conditions of the lab's rules.
+# Names and conditions of the rules.
 SALES_RULES = (
     Rule("Location has to be 5 characters long", "length(store_id) = 5", "fail"),
     Rule(

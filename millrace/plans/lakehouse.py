@@ -22,7 +22,7 @@ from millrace.sources.files import read_csv, read_json
 from millrace.sources.streams import stream_json
 from millrace.streaming.runs import run_continuous, run_once
 
-# The lab's stores by country.
+# Store codes by country.
 STORE_COUNTRIES = {
     "AUS": ("SYD01", "MEL01", "BNE02", "MEL02", "PER01", "CBR01"),
     "NZL": ("AKL01", "AKL02", "WLG01"),

@@ -37,19 +37,18 @@ def parse_json_lines(
     kept = [c for c in df.columns if c != value]
     names = [*fields, *[h for h in hints if h not in fields]]
     raw = F.col("__raw")
+    text = {n: F.element_at(raw, F.lit(n)) for n in names}
+    cast = {n: k for n, k in hints.items() if k.lower() != "string"}
+    # one step per stage, so that a line is parsed and a field is cast only once
     parsed = df.withColumn(
         "__raw", F.from_json(F.col(value), "map<string,string>", {"mode": "PERMISSIVE"})
     )
+    typed = parsed.withColumns({f"__typed_{n}": text[n].try_cast(k) for n, k in cast.items()})
 
-    def typed(name: str) -> Column:
-        text = F.element_at(raw, F.lit(name))
-        return text.try_cast(hints[name]) if name in hints else text
-
-    def misfit(key: Column, text: Column) -> Column:
+    def misfit(key: Column, _: Column) -> Column:
         bad = ~key.isin(*names)
-        for name, kind in hints.items():
-            if kind.lower() != "string":
-                bad = bad | ((key == name) & text.isNotNull() & text.try_cast(kind).isNull())
+        for n in cast:
+            bad = bad | ((key == n) & text[n].isNotNull() & F.col(f"__typed_{n}").isNull())
         return bad
 
     left_over = F.map_filter(raw, misfit)
@@ -58,4 +57,5 @@ def parse_json_lines(
         .when(F.size(left_over) > 0, F.to_json(left_over))
         .alias(rescued)
     )
-    return parsed.select(*[typed(n).alias(n) for n in names], rescue, *kept)
+    values = [(F.col(f"__typed_{n}") if n in cast else text[n]).alias(n) for n in names]
+    return typed.select(*values, rescue, *kept)

@@ -204,3 +204,32 @@ def test_repair_from_rescued(spark):
         "ts long, _rescued_data string",
     )
     assert [r["ts"] for r in ch.repair_from_rescued(df).collect()] == [1640995200, None, 5, None]
+
+
+def test_a_hot_key_of_the_merge_target_is_split(spark, tmp_path):
+    """Spark cuts a target key with many rows into several tasks of the join."""
+    target = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    target.write.parquet(str(tmp_path / "t"))
+    source = spark.range(20_000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    source.write.parquet(str(tmp_path / "s"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "-1", "500KB", "500KB", "2")):
+            spark.conf.set(k, v)
+        merged = ch.merge_upsert(
+            spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")), ["k"], None
+        )
+        rows = merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert sum(r["k"] == 7 and r["v"] == "x" for r in rows) == 66_667 + 1
+    assert len(rows) == 200_000 + sum(1 for i in range(20_000) if i % 3 == 0)

@@ -2,6 +2,7 @@ import pytest
 from fixtures import ITEMS, sale, stores, write_lines
 from pyspark.sql import functions as F
 
+from millrace.operators.gold import records_per_file
 from millrace.plans.checked_sales import CheckedSales
 from millrace.plans.lakehouse import Lakehouse, with_country
 
@@ -57,6 +58,8 @@ def test_lakehouse(spark, data):
             [sale("s1", ts="2022-01-01 00:00:00", state="CANCELED", exported_ts=1641000000, extra="x")],
         )
         lake.ingest_sales(str(landing))
+        per_file = {r["file_path"].rsplit("/", 1)[1]: r["number_of_records"] for r in records_per_file(lake.bronze_sales).collect()}
+        assert per_file == {"sales_1.json": 4, "fixed.json": 1}
         fixed = lake.bronze_sales.where("STATE = 'CANCELED'").first()
         assert fixed["ts"] == 1640995200 and "2022-01-01" in fixed["_rescued_data"]
         after = {r["id"]: r for r in lake.refresh_sales().where("id IS NOT NULL").collect()}
