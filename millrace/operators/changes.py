@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import json_path, text_to_epoch
@@ -108,23 +108,35 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     """Row change feed between two states of a table whose rows are unique by ``keys``.
 
     Both states are grouped by all columns in one shuffle, where equal rows cancel out;
-    only changed rows go on to be paired by key, at most two per key. Unlike a full
-    outer join this treats NULL keys as keys and cannot blow up when a state holds a key
-    many times over: each different row is then reported once.
+    only changed rows go on to be paired by key. NULL keys are keys. Unlike a full outer
+    join this cannot blow up: a key that has several changed rows in one state collapses
+    in each task and ends as an error.
     """
     columns = old.columns
     sides = old.withColumn("__side", F.lit(-1)).unionByName(new.withColumn("__side", F.lit(1)))
     changed = sides.groupBy(*columns).agg(F.sum("__side").alias("__net")).where("__net <> 0")
-    row = Window.partitionBy(*keys)
-    updated = (F.min("__net").over(row) < 0) & (F.max("__net").over(row) > 0)
-    before = F.col("__net") < 0
-    change = (
-        F.when(before & F.col("__updated"), "update_preimage")
-        .when(F.col("__updated"), "update_postimage")
-        .when(before, "delete")
-        .otherwise("insert")
+    gone, came = F.col("__net") < 0, F.col("__net") > 0
+    paired = changed.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(
+        F.max(F.when(gone, F.struct(*columns))).alias("__old"),
+        F.max(F.when(came, F.struct(*columns))).alias("__new"),
+        F.greatest(F.sum(F.when(gone, -F.col("__net"))), F.sum(F.when(came, F.col("__net")))).alias(
+            "__copies"
+        ),
     )
-    return changed.withColumn("__updated", updated).select(*columns, change.alias("change_type"))
+
+    def image(kind: str, side: str) -> Column:
+        return F.struct(F.col(side).alias("row"), F.lit(kind).alias("change_type"))
+
+    twice = F.raise_error(F.lit("a state of the table holds a key more than once"))
+    images = (
+        F.when(F.col("__copies") > 1, twice)
+        .when(F.col("__new").isNull(), F.array(image("delete", "__old")))
+        .when(F.col("__old").isNull(), F.array(image("insert", "__new")))
+        .otherwise(
+            F.array(image("update_preimage", "__old"), image("update_postimage", "__new"))
+        )
+    )
+    return paired.select(F.inline(images)).select("row.*", "change_type")
 
 
 def log_version(

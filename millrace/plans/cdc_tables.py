@@ -6,12 +6,11 @@ import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.cdc import decode_changes, live_rows, scd2, scd2_refresh
-from millrace.sources.files import sample_schema
+from millrace.sources.files import read_if_present, sample_schema
 from millrace.sources.streams import stream_parquet
 from millrace.streaming.runs import run_once
 from millrace.streaming.scd import append_history, fold_scd1, read_history
@@ -95,11 +94,8 @@ class CdcTables:
 
     def _published(self, name: str) -> tuple[int | None, DataFrame | None]:
         """Load number and content of the newest complete table."""
-        try:
-            notes = self.spark.read.parquet(f"{self.root}/{name}_notes")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        notes = read_if_present(self.spark, f"{self.root}/{name}_notes")
+        if notes is None:
             return None, None
         last = notes.agg(F.max(F.struct("load_id", "folder")).alias("n")).first()["n"]
         return last["load_id"], self.spark.read.parquet(last["folder"])

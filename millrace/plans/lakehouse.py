@@ -18,7 +18,7 @@ from millrace.operators.gold import (
 )
 from millrace.operators.items import clean_sales, explode_items
 from millrace.sinks.tables import save_table
-from millrace.sources.files import read_csv, read_json
+from millrace.sources.files import read_csv, read_if_present, read_json
 from millrace.sources.streams import stream_json
 from millrace.streaming.runs import run_continuous, run_once
 
@@ -128,10 +128,8 @@ class Lakehouse:
 
     def _refreshed(self):
         """Ingest time of the newest batch in silver; batches come one after the other."""
-        if not self.spark.catalog.tableExists("silver_sales"):
-            return None
-        marks = self.spark.read.parquet(f"{self.root}/silver/_refreshes")
-        return marks.agg(F.max("upto").alias("upto")).first()["upto"]
+        marks = read_if_present(self.spark, f"{self.root}/silver/_refreshes")
+        return None if marks is None else marks.agg(F.max("upto").alias("upto")).first()["upto"]
 
     def build_gold(self) -> dict[str, DataFrame]:
         table = self.spark.table

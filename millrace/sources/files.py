@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,6 +32,16 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet folder, or None when nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def query_path(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     """A file path as a table in SQL."""
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")

@@ -118,6 +118,16 @@ def test_diff_treats_null_keys_as_keys_and_never_multiplies(spark):
     ]
 
 
+def test_diff_rejects_a_key_given_twice(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(2, "a"), (2, "b")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        ch.snapshot_diff(old, new, ["k"]).collect()
+    copies = spark.createDataFrame([(1, "a"), (3, "c"), (3, "c")], "k int, v string")
+    with pytest.raises(Exception, match="more than once"):
+        ch.snapshot_diff(old, copies, ["k"]).collect()
+
+
 AUS = ("SYD01", "MEL01", "BNE02", "CBR01", "PER01")
 NZL = ("AKL01", "AKL02", "WLG01")
 
