@@ -6,44 +6,90 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from millrace.functions.columns import as_column
 
 
-def _pick(df: DataFrame, keys: Sequence[str], chosen: Column) -> DataFrame:
-    picked = df.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)])
-    return picked.agg(chosen.alias("__row")).select("__row.*")
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def _extreme(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], greatest: bool
+) -> DataFrame:
+    """The greatest or least row of each key, as one struct led by the order columns."""
+    named = [o for o in order if isinstance(o, str) and o not in keys]
+    lead = [F.col(o) if isinstance(o, str) else o.alias(f"__o{i}") for i, o in enumerate(order)]
+    rest = [f for f in df.schema.fields if f.name not in keys and f.name not in named]
+    if all(_orderable(f.dataType) for f in rest):
+        row = F.struct(*lead, *[F.col(f.name) for f in rest])
+        picked = F.max(row) if greatest else F.min(row)
+    else:
+        row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
+        picked = (F.max_by if greatest else F.min_by)(row, F.struct(*lead))
+    found = df.groupBy(*keys).agg(picked.alias("__row"))
+    return found.select(
+        *[F.col(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns]
+    )
 
 
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:
-    """The row with the greatest ``order`` of every key.
+    """The row with the greatest ``order`` of every key; NULL orders first.
 
     An aggregate rather than a row number: each task sends on at most one row per key,
     so a key that holds a third of the table costs its reducer one row per map task.
-    It also runs on streams. NULL orders first; add tie-breakers to ``order`` where
-    several rows may share the greatest value.
+    It also runs on streams. Rows that share the greatest order are settled by their
+    other columns, so that a repeated task gives the same row (not where a column is a
+    map, which has no order).
     """
-    rank = F.struct(*[as_column(o) for o in order])
-    return _pick(df, keys, F.max_by(F.struct(*df.columns), rank))
+    return _extreme(df, keys, order, True)
 
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:
     """Drop duplicates on ``keys`` and keep the row with the least ``order``."""
-    rank = F.struct(*[as_column(o) for o in order])
-    return _pick(df, keys, F.min_by(F.struct(*df.columns), rank))
+    return _extreme(df, keys, order, False)
 
 
 def top_n_per_group(
-    df: DataFrame, groups: Sequence[str], by: Column | str, n: int, name: str = "rank"
+    df: DataFrame,
+    groups: Sequence[str],
+    by: Column | str,
+    n: int,
+    name: str = "rank",
+    spread_ties: bool = False,
 ) -> DataFrame:
     """Rows ranked 1..n by ``by`` descending in each group; rows that tie all stay.
 
     The filter on the rank lets Spark cut every task's share of a group to its own top
-    n before the shuffle, so a group never travels whole.
+    n before the shuffle, so a group never travels whole. Rows that tie within the top n
+    do meet in one task; set ``spread_ties`` if they may be a large part of a table, as
+    with few different values. Then values are counted and ranked instead of rows, at
+    most n per group, and joined back, for a second read of ``df``.
     """
-    w = Window.partitionBy(*groups).orderBy(as_column(by).desc())
-    return df.withColumn(name, F.rank().over(w)).where(F.col(name) <= n)
+    order = Window.partitionBy(*groups).orderBy(as_column(by).desc())
+    if not spread_ties:
+        return df.withColumn(name, F.rank().over(order)).where(F.col(name) <= n)
+
+    keys = [F.col(g).alias(f"__g_{i}") for i, g in enumerate(groups)]
+    counts = df.groupBy(*keys, as_column(by).alias("__by")).agg(F.count(F.lit(1)).alias("__rows"))
+    top = Window.partitionBy(*[f"__g_{i}" for i in range(len(keys))]).orderBy(F.desc("__by"))
+    ahead = F.sum("__rows").over(top.rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (
+        counts.withColumn("__nth", F.row_number().over(top))
+        .where(F.col("__nth") <= n)
+        .withColumn("__ahead", F.coalesce(ahead, F.lit(0)))
+        .where(F.col("__ahead") < n)
+        .withColumn(name, F.col("__ahead").cast("int") + 1)
+    )
+    same = [df[g].eqNullSafe(ranked[f"__g_{i}"]) for i, g in enumerate(groups)]
+    same.append(as_column(by).eqNullSafe(ranked["__by"]))
+    return df.join(ranked, same).select(*[df[c] for c in df.columns], ranked[name])

@@ -48,10 +48,15 @@ def with_country(stores: DataFrame) -> DataFrame:
 
 @dataclass
 class Lakehouse:
-    """Tables of one lakehouse under ``root``, named in the current database."""
+    """Tables of one lakehouse under ``root``, named in the current database.
+
+    ``max_files`` bounds how many files a micro-batch takes, so that a large backlog is
+    worked off in batches that each fit the cluster.
+    """
 
     spark: SparkSession
     root: str
+    max_files: int | None = None
 
     def _save(self, df: DataFrame, tier: str, name: str) -> DataFrame:
         return save_table(
@@ -75,7 +80,9 @@ class Lakehouse:
         return f"{self.root}/bronze/bronze_sales"
 
     def _sales_stream(self, landing: str) -> DataFrame:
-        return stream_json(self.spark, landing, SALES_HINTS, SALES_FIELDS)
+        return stream_json(
+            self.spark, landing, SALES_HINTS, SALES_FIELDS, max_files=self.max_files
+        )
 
     def ingest_sales(self, landing: str) -> StreamingQuery:
         """Take in the sales files that are new since the last call."""

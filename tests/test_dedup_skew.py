@@ -28,7 +28,15 @@ def test_latest_and_first(spark):
 def test_latest_sends_one_row_per_task_and_key(spark):
     df = spark.range(1000).select(F.lit(1).alias("k"), "id")
     plan = latest_per_key(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert "partial_max" in plan
+
+
+def test_ties_are_settled_and_maps_are_carried(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "z"), ("a", 1, "y")], "k string, o int, v string")
+    assert latest_per_key(df, ["k"], ["o"]).collect() == df.where("v = 'z'").collect()
+    assert first_per_key(df, ["k"], ["o"]).collect() == df.where("v = 'x'").collect()
+    maps = spark.createDataFrame([("a", 1, {"n": 1}), ("a", 2, {"n": 2})], "k string, o int, m map<string,int>")
+    assert latest_per_key(maps, ["k"], ["o"]).first()["m"] == {"n": 2}
 
 
 def test_top_n_keeps_ties(spark):
@@ -43,6 +51,17 @@ def test_top_n_keeps_ties(spark):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10])
+def test_spread_ties_ranks_alike(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice(["s", "t", None]), rng.choice([None, 1, 2, 3, 4, 5]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, v int, i int")
+    plain = top_n_per_group(df, ["g"], "v", n)
+    spread = top_n_per_group(df, ["g"], "v", n, spread_ties=True)
+    assert spread.schema.names == plain.schema.names
+    assert sorted(map(tuple, spread.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
 def skewed(spark, rows=3000):
     rng = random.Random(3)
     keys = [None if n % 10 == 0 else (1 if n % 3 == 0 else rng.randrange(2, 400)) for n in range(rows)]
