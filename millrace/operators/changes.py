@@ -49,12 +49,17 @@ def delete_rows(df: DataFrame, where: Column | str) -> DataFrame:
     return df.where(~_holds(where))
 
 
-def duplicate_key_guard(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
-    """No rows, and an error when run if a complete key occurs twice in ``df``."""
+def unique_by(df: DataFrame, keys: Sequence[str], message: str) -> DataFrame:
+    """The same rows, or an error when run if a complete key occurs twice.
+
+    Repeated keys are counted in a subquery, which Spark runs before the rows move on,
+    so no join ever sees them.
+    """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     counts = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    stop = F.when(F.col("__rows") > 1, F.raise_error(F.lit(message)).cast("boolean"))
-    return counts.where(stop).drop("__rows")
+    repeated = counts.where("__rows > 1").agg(F.count(F.lit(1)).alias("__n")).scalar()
+    stop = F.raise_error(F.lit(message)).cast("boolean")
+    return df.where(F.when(repeated > 0, stop).otherwise(True))
 
 
 def merge_upsert(
@@ -75,6 +80,8 @@ def merge_upsert(
     target is not shuffled at all, and with a large one Spark can split target keys
     that hold many rows, which a full outer join would not allow.
     """
+    if check_source:
+        source = unique_by(source, keys, "merge source holds a key more than once")
     columns = target.columns
     values = [c for c in columns if c not in keys]
     new = source.select(
@@ -93,15 +100,7 @@ def merge_upsert(
     )
     known = target.select(*keys).distinct().join(source.select(*keys), list(keys), "left_semi")
     inserted = source.select(*columns).join(known, list(keys), "left_anti")
-    merged = kept.unionByName(inserted)
-    if check_source:
-        guard = duplicate_key_guard(source, keys, "merge source holds a key more than once")
-        types = {f.name: f.dataType for f in target.schema.fields}
-        empty = guard.select(
-            *[F.col(c) if c in keys else F.lit(None).cast(types[c]).alias(c) for c in columns]
-        )
-        merged = merged.unionByName(empty)
-    return merged
+    return kept.unionByName(inserted)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -114,7 +114,7 @@ class Lakehouse:
             sales = self._save(latest, "silver", "silver_sales")
             self._save(explode_items(sales), "silver", "silver_sale_items")
         else:
-            arrived = bronze.where(F.col("inserted_at") > F.lit(done))
+            arrived = bronze.where(F.col("inserted_at") > F.timestamp_micros(F.lit(done)))
             touched = arrived.select("SaleID").distinct()
             latest = self._latest(bronze.join(touched, "SaleID", "left_semi"))
             # the source has one row per sale by construction
@@ -133,10 +133,15 @@ class Lakehouse:
     def _latest(self, bronze: DataFrame) -> DataFrame:
         return clean_sales(bronze, tie_breakers=("inserted_at", "file_path"))
 
-    def _refreshed(self):
-        """Ingest time of the newest batch in silver; batches come one after the other."""
+    def _refreshed(self) -> int | None:
+        """Ingest time, in microseconds, of the newest batch in silver.
+
+        Batches come one after the other, so everything later is new.
+        """
         marks = read_if_present(self.spark, f"{self.root}/silver/_refreshes")
-        return None if marks is None else marks.agg(F.max("upto").alias("upto")).first()["upto"]
+        if marks is None:
+            return None
+        return marks.agg(F.unix_micros(F.max("upto")).alias("upto")).first()["upto"]
 
     def build_gold(self) -> dict[str, DataFrame]:
         table = self.spark.table

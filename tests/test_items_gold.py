@@ -54,6 +54,7 @@ def test_explode_items(spark):
     assert rows["s1-1"]["product_id"] == "Custom" and rows["s1-1"]["item_number"] == 1
     assert rows["s1-0"]["product_ingredients"] == ["Apple", "Kale"]
     assert rows["s1-0"]["product_cost"] == 4.5
+    assert rows["s5-0"]["product_id"] == "A" and rows["s5-0"]["product_cost"] is None
 
 
 def small_world(spark):
