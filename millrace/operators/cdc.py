@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
-from millrace.operators.skew import HOT_ROWS, MAX_HOT_KEYS, next_in_key
+from millrace.operators.skew import HOT_ROWS, MAX_HOT_KEYS, broadcast_if_small, next_in_key
 
 # Columns the source database adds to a captured row.
 CAPTURE_COLUMNS = (
@@ -133,9 +133,11 @@ def scd2_refresh(
 ) -> DataFrame:
     """SCD type 2 table after new changes: only keys among ``arrived`` are rebuilt.
 
-    ``history`` holds all changes, the arrived ones included.
+    ``history`` holds all changes, the arrived ones included. The keys that arrived are
+    counted first; if they are few, neither table is shuffled to find its rows.
     """
     touched = arrived.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+    touched = broadcast_if_small(touched)
 
     def on(df: DataFrame) -> list[Column]:
         return [df[k].eqNullSafe(touched[f"__t_{k}"]) for k in keys]

@@ -78,7 +78,8 @@ def merge_upsert(
 
     The target is the probe side of a left join. So a small source is broadcast and the
     target is not shuffled at all, and with a large one Spark can split target keys
-    that hold many rows, which a full outer join would not allow.
+    that hold many rows, which a full outer join would not allow. Spark must know that
+    the source is small: give it a stored table, or ``broadcast_if_small(source)``.
     """
     if check_source:
         source = unique_by(source, keys, "merge source holds a key more than once")

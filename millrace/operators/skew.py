@@ -20,6 +20,20 @@ HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 65_536
 
 
+# Rows that may be sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count shows it is small, else as it is.
+
+    For the small side of a join whose size Spark cannot know when it plans, such as the
+    keys of new rows: unmarked, the large side would be shuffled before the other side
+    turns out small.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from millrace.operators.gold import (
     top_customers,
 )
 from millrace.operators.items import clean_sales, explode_items
+from millrace.operators.skew import broadcast_if_small
 from millrace.sinks.tables import save_table
 from millrace.sources.files import read_csv, read_if_present, read_json
 from millrace.sources.streams import stream_json
@@ -115,9 +117,13 @@ class Lakehouse:
             self._save(explode_items(sales), "silver", "silver_sale_items")
         else:
             arrived = bronze.where(F.col("inserted_at") > F.timestamp_micros(F.lit(done)))
-            touched = arrived.select("SaleID").distinct()
+            touched = broadcast_if_small(arrived.select("SaleID").distinct())
             latest = self._latest(bronze.join(touched, "SaleID", "left_semi"))
-            # the source has one row per sale by construction
+            # written once: used several times below, and of a size Spark then knows
+            fresh = f"{self.root}/silver/_arrived/{uuid.uuid4().hex}"
+            latest.write.mode("errorifexists").parquet(fresh)
+            latest = spark.read.parquet(fresh)
+            # one row per sale by construction, so no check
             merged = merge_upsert(
                 spark.table("silver_sales"), latest, ["id"], check_source=False
             )

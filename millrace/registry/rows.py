@@ -17,7 +17,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag
 FROM (SELECT *, row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber
         ORDER BY coalesce(CASE WHEN l_returnflag <> 'N' THEN epoch(l_shipdate)::BIGINT END, 0) DESC,
-                 l_partkey DESC, l_suppkey DESC) AS rn
+                 l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn
       FROM lineitem)
 WHERE rn = 1
 """
@@ -26,7 +26,8 @@ def latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").withColumn(
         "exported_ts", F.when(F.col("l_returnflag") != "N", seconds("l_shipdate"))
     )
-    order = [F.coalesce(F.col("exported_ts"), F.lit(0)), "l_partkey", "l_suppkey"]
+    order = [F.coalesce(F.col("exported_ts"), F.lit(0))]
+    order += ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     latest = dedup.latest_per_key(lines, ["l_orderkey", "l_linenumber"], order)
     return latest.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"

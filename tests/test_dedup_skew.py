@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import first_per_key, latest_per_key, top_n_per_group
-from millrace.operators.skew import hot_keys, next_in_key, split_hot
+from millrace.operators.skew import broadcast_if_small, hot_keys, next_in_key, split_hot
 
 
 def test_latest_and_first(spark):
@@ -108,3 +108,15 @@ def test_next_in_key_in_pieces_is_exact(spark, data):
     df = spark.createDataFrame(data, "k int, o int")
     got = next_in_key(df, ["k"], "o", "n", 1, 10**9).collect()
     assert {(r["k"], r["o"]): r["n"] for r in got} == expected_next(data)
+
+
+def test_broadcast_only_after_a_count(spark):
+    big, few = spark.range(1000), spark.range(50).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = big.join(broadcast_if_small(few, 50), "id", "left_semi")
+        large = big.join(broadcast_if_small(few, 49), "id", "left_semi")
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (small, large)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
