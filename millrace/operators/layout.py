@@ -37,40 +37,56 @@ def files_for(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BY
     return max(1, -(-total // target_bytes))
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list]:
-    """Cut points of each column from a sample of fixed size."""
+def _bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[str]]:
+    """Cut points of each column, as text, from a sample of fixed size."""
     total = df.count()
     share = min(1.0, BOUND_SAMPLE_ROWS / max(total, 1))
-    rows = df.select(*columns).sample(share, seed=7).limit(2 * BOUND_SAMPLE_ROWS).collect()
+    pairs = [F.struct(F.col(c).alias("v"), F.col(c).cast("string").alias("t")).alias(c) for c in columns]
+    rows = df.select(*pairs).sample(share, seed=7).limit(2 * BOUND_SAMPLE_ROWS).collect()
     cuts = {}
     for c in columns:
-        values = sorted(r[c] for r in rows if r[c] is not None)
-        picked = [values[len(values) * i // buckets] for i in range(1, buckets)] if values else []
-        cuts[c] = sorted(set(picked))
+        seen = sorted((r[c]["v"], r[c]["t"]) for r in rows if r[c]["v"] is not None)
+        picked = [seen[len(seen) * i // buckets] for i in range(1, buckets)] if seen else []
+        cuts[c] = [text for _, text in sorted(set(picked))]
     return cuts
 
 
-def _bucket(column: Column, cuts: list, offset: int = 0) -> Column:
-    """Number of cut points <= the value, by halving; NULL goes to bucket 0."""
+def _spread_bits(bucket: int, column: int, width: int) -> int:
+    """The bits of a bucket number, ``width`` places apart."""
+    return sum(
+        1 << (bit * width + width - 1 - column)
+        for bit in range(bucket.bit_length())
+        if bucket >> bit & 1
+    )
+
+
+def _by_range(column: str, kind: str, cuts: list[str], values: list[int]) -> str:
+    """SQL for ``values[n]``, n being the number of cut points <= the column.
+
+    The range is found by halving. NULL is in range 0. As text it is one expression to
+    hand to Spark instead of hundreds.
+    """
     if not cuts:
-        return F.lit(offset)
+        return f"{values[0]}L"
     mid = len(cuts) // 2
-    return F.when(column >= F.lit(cuts[mid]), _bucket(column, cuts[mid + 1 :], offset + mid + 1)).otherwise(
-        _bucket(column, cuts[:mid], offset)
-    )
+    above = _by_range(column, kind, cuts[mid + 1 :], values[mid + 1 :])
+    below = _by_range(column, kind, cuts[:mid], values[: mid + 1])
+    cut = cuts[mid].replace("\\", "\\\\").replace("'", "\\'")
+    return f"CASE WHEN `{column}` >= CAST('{cut}' AS {kind}) THEN {above} ELSE {below} END"
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Bits of the columns' range buckets interleaved, the first column highest."""
-    cuts = _bounds(df, columns, 1 << bits)
-    width = len(columns)
-    parts = []
+    """Bits of the columns' range numbers interleaved, the first column highest.
+
+    Every range already stands for its spread bits, so a row costs a few comparisons per
+    column and no bit work beyond joining the columns.
+    """
+    cuts, kinds = _bounds(df, columns, 1 << bits), dict(df.dtypes)
+    spread = []
     for i, c in enumerate(columns):
-        bucket = _bucket(F.col(c), cuts[c]).cast("long")
-        for b in range(bits):
-            bit = F.shiftright(bucket, b).bitwiseAND(F.lit(1).cast("long"))
-            parts.append(F.shiftleft(bit, b * width + width - 1 - i))
-    return reduce(lambda x, y: x.bitwiseOR(y), parts)
+        values = [_spread_bits(n, i, len(columns)) for n in range(len(cuts[c]) + 1)]
+        spread.append(F.expr(_by_range(c, kinds[c], cuts[c], values)))
+    return reduce(lambda x, y: x.bitwiseOR(y), spread)
 
 
 def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
@@ -80,14 +96,12 @@ def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) ->
     further, and a hash of the whole row last, so that neither a crowded cell nor one
     value held by a third of the rows ends up in a single file.
     """
-    lead = [] if len(columns) == 1 else [z_value(df, columns, bits).alias("__z")]
-    spread = F.xxhash64(*df.columns)
-    cols = [F.col(c) for c in columns]
-    shaped = df.select("*", *lead, spread.alias("__spread"))
-    z = ["__z"] if lead else []
+    z = [] if len(columns) == 1 else ["__z"]
+    shaped = df.withColumn("__z", z_value(df, columns, bits)) if z else df
     return (
-        shaped.repartitionByRange(files, *z, *cols, "__spread")
-        .sortWithinPartitions(*z, *cols)
+        shaped.withColumn("__spread", F.xxhash64(*df.columns))
+        .repartitionByRange(files, *z, *columns, "__spread")
+        .sortWithinPartitions(*z, *columns)
         .drop("__z", "__spread")
     )
 

@@ -87,6 +87,10 @@ FROM lineitem
 """
 
 
+def _path(sf: str) -> str:
+    return f"{sf.rstrip('/')}/lineitem.parquet"
+
+
 def _lines(df: DataFrame) -> DataFrame:
     return df.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", as_text("l_shipdate").alias("l_shipdate")
@@ -98,17 +102,17 @@ def zorder(spark: SparkSession, sf: str) -> DataFrame:
     """Line items rewritten in clustered files; the rows are the same."""
     path = scratch_path(spark, "zorder")
     lines = table(spark, sf, "lineitem")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout.zorder(lines, ["l_partkey", "l_shipdate"], parts).write.parquet(path)
+    count = max(8, layout.files_for(spark, _path(sf)))
+    layout.zorder(lines, ["l_partkey", "l_shipdate"], count).write.parquet(path)
     return _lines(spark.read.parquet(path))
 
 
 @query(LINES)
 def compact(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items written as many small files, then compacted without a shuffle."""
+    """Line items written as files of a sixteenth of the target, then compacted."""
     root = scratch_path(spark, "compact")
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table(spark, sf, "lineitem").repartition(parts).write.parquet(f"{root}/small")
+    count = 16 * layout.files_for(spark, _path(sf))
+    table(spark, sf, "lineitem").repartition(count).write.parquet(f"{root}/small")
     layout.compact(spark, f"{root}/small", f"{root}/large")
     return _lines(spark.read.parquet(f"{root}/large"))
 

@@ -193,6 +193,20 @@ def test_zorder_serves_both_columns(spark, tmp_path):
     assert layout.files_to_read(z, "b", 500) <= 8
 
 
+def test_z_value_of_any_type(spark):
+    df = spark.range(500).select(
+        F.concat(F.lit("it's \\ "), F.lpad(F.col("id").cast("string"), 3, "0")).alias("s"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("t"),
+        (F.col("id") / 7).cast("decimal(9,3)").alias("d"),
+    )
+    for column in df.columns:
+        z = df.select(column, layout.z_value(df, [column]).alias("z")).orderBy(column).collect()
+        ranges = [r["z"] for r in z]
+        assert ranges == sorted(ranges) and ranges[0] == 0 and ranges[-1] == 63
+    both = df.select(layout.z_value(df, ["s", "t"]).alias("z")).distinct().count()
+    assert both == 64
+
+
 def test_zorder_splits_a_value_held_by_most_rows(spark):
     df = points(spark).withColumns({"a": F.when(F.col("a") > 300, 1).otherwise(F.col("a")), "b": F.lit(1)})
     sizes = layout.zorder(df, ["a", "b"], 8).groupBy(F.spark_partition_id().alias("p")).count()
