@@ -41,6 +41,14 @@ def test_inventory_and_samples(spark, tmp_path):
         files.sample_schema(spark, str(tmp_path / "d"), 0)
 
 
+def test_provenance(spark, tmp_path):
+    t.write_parquet(spark.range(4).coalesce(1), str(tmp_path / "d"))
+    df = files.with_provenance(files.read_parquet(spark, str(tmp_path / "d")))
+    assert df.columns == ["id", "file_path", "inserted_at"]
+    assert df.select("file_path").distinct().count() == 1
+    assert df.where("inserted_at IS NULL").count() == 0
+
+
 def test_parse_json_lines(spark):
     lines = [
         '{"ts":1,"a":"x","n":{"q":[1,2]}}',
