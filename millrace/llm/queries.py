@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.mixing import fair_queue
 from millrace.llm.quality import clean_lines
+from millrace.llm.ring import shard_rows
 from millrace.llm.token_counts import count_tokens
 from millrace.registry.base import Query
 from millrace.session import apply_settings
@@ -55,3 +57,17 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_rows(table(spark, sf_dir, "documents"), shards=24)
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query()
+def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fair_queue(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "turns", "finish")
