@@ -12,6 +12,7 @@ from millrace.llm.mixing import fair_queue
 from millrace.llm.quality import clean_lines
 from millrace.llm.ring import shard_rows
 from millrace.llm.token_counts import count_tokens
+from millrace.llm.warc import archive_round_trip
 from millrace.registry.base import Query
 from millrace.session import apply_settings
 
@@ -71,3 +72,22 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fair_queue(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "turns", "finish")
+
+
+@query(
+    """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+    d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d)
+    SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+    CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to FROM f"""
+)
+def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = archive_round_trip(table(spark, sf_dir, "pages"))
+    return out.select(
+        F.col("key").cast("long").alias("page_id"),
+        F.coalesce("main.payload_bytes", "original.payload_bytes").alias("payload_bytes"),
+        F.col("main.payload_digest"),
+        F.col("main.kind").alias("record_type"),
+        F.col("original.key").cast("long").alias("refers_to"),
+    )
