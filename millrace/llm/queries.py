@@ -12,6 +12,7 @@ from millrace.llm.mixing import fair_queue
 from millrace.llm.quality import clean_lines
 from millrace.llm.ring import shard_rows
 from millrace.llm.token_counts import count_tokens
+from millrace.llm.token_files import sequence_round_trip
 from millrace.llm.warc import archive_round_trip
 from millrace.registry.base import Query
 from millrace.session import apply_settings
@@ -91,3 +92,9 @@ def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("main.kind").alias("record_type"),
         F.col("original.key").cast("long").alias("refers_to"),
     )
+
+
+@query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sequence_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
