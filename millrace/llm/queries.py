@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.mixing import fair_queue
+from millrace.llm.near import near_duplicates
 from millrace.llm.quality import clean_lines
 from millrace.llm.ring import shard_rows
 from millrace.llm.token_counts import count_tokens
@@ -98,3 +99,8 @@ def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sequence_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query()
+def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
