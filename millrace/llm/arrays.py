@@ -17,6 +17,9 @@ _PIECE = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: The same and ASCII punctuation.
+BREAK = SPACE.copy()
+BREAK[[b for b in range(128) if not chr(b).isalnum()]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -78,13 +81,13 @@ def _within(start: np.ndarray, end: np.ndarray, offsets: np.ndarray) -> Spans:
     return Spans(start, end, np.searchsorted(offsets, start, "right") - 1)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Spans:
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> Spans:
     """Words: runs of bytes other than space and \\x09 to \\x0D within a text."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Spans(none, none, none)
-    inside = ~SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.ones(n, bool)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import find_leaks
 from millrace.llm.mixing import fair_queue
 from millrace.llm.near import near_duplicates
 from millrace.llm.quality import clean_lines
@@ -104,3 +105,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+@query()
+def op10_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
