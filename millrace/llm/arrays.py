@@ -111,8 +111,12 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> Spans:
     return Spans(start[order], end[tail], doc[order])
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans that do not overlap and ascend; equal bytes give equal hashes."""
+#: Other numbers for the 256 bytes, for a second hash that is independent of the first.
+OTHER = mix(np.arange(256, dtype=np.uint64) + np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, numbers: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of spans in ascending order of their starts; equal bytes give equal hashes."""
     out = np.empty(len(start), np.uint64)
     k = 0
     while k < len(start):
@@ -120,7 +124,8 @@ def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
         lo, hi = int(start[k]), int(end[k:top].max())
         up, down = powers(max(hi - lo, _PIECE))
         sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * up[: hi - lo], out=sums[1:])
+        piece = data[lo:hi].astype(np.uint64) + np.uint64(1) if numbers is None else numbers[data[lo:hi]]
+        np.cumsum(piece * up[: hi - lo], out=sums[1:])
         a, b = start[k:top] - lo, end[k:top] - lo
         out[k:top] = (sums[b] - sums[a]) * down[a]
         k = top

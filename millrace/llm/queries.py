@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import find_leaks
+from millrace.llm.licenses import scan_licenses
 from millrace.llm.mixing import fair_queue
 from millrace.llm.near import near_duplicates
 from millrace.llm.quality import clean_lines
 from millrace.llm.ring import shard_rows
+from millrace.llm.suffix import remove_repeats
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.token_files import sequence_round_trip
 from millrace.llm.warc import archive_round_trip
@@ -110,3 +112,18 @@ def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_bm25_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "paragraph_no", "family", "predicted", "probability", "similarity", F.md5("paragraph").alias("paragraph_md5"))
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"), least=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
