@@ -78,12 +78,18 @@ def fair_queue(
     source: str = "source",
     text: str = "text",
     slices: int = SLICES,
+    carry: Column | None = None,
 ) -> DataFrame:
     """``key``, size, source, source_size, target, finish (the virtual time of its first turn),
-    turns (how often the mix takes it) and taken (words), a row for each row of ``docs``."""
+    turns (how often the mix takes it) and taken (words), a row for each row of ``docs``; and
+    ``carry``, if given, as column carried."""
     body = F.col(text).cast("string")
     mixed = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.md5(F.coalesce(body, F.lit("")).cast("binary")))
-    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(body).alias("size"), ring_point(mixed).alias("point"))
+    extra = [] if carry is None else ["carried"]
+    rows = docs.select(
+        F.col(key).alias("key"), F.col(source).alias("source"), word_count(body).alias("size"), ring_point(mixed).alias("point"),
+        *([] if carry is None else [carry.alias("carried")]),
+    )
     rows = rows.withColumn("slice", F.floor(F.col("point") / F.lit((1 << RING_BITS) // slices)).cast("int"))
 
     # words of a source up to each document: within its slice, and of the slices before
@@ -97,7 +103,7 @@ def fair_queue(
     run = rows.withColumn("run", F.sum("size").over(within)).alias("r")
     same = F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.slice") == F.col("s.slice"))
     queued = run.join(sums.alias("s"), same).select(
-        "key", "r.source", "size", "rank", "source_size", "target", (F.col("base") + F.col("run")).alias("upto")
+        "key", "r.source", "size", "rank", "source_size", "target", (F.col("base") + F.col("run")).alias("upto"), *extra
     )
 
     turn = lambda n: (F.col("upto") + F.col("source_size") * n) / F.col("target")
@@ -118,5 +124,5 @@ def fair_queue(
     out = queued.crossJoin(F.broadcast(last)).withColumn("turns", F.when(F.col("target") > 0, turns).otherwise(0))
     return out.select(
         F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target",
-        F.when(F.col("target") > 0, turn(0)).alias("finish"), "turns", (F.col("size") * F.col("turns")).alias("taken"),
+        F.when(F.col("target") > 0, turn(0)).alias("finish"), "turns", (F.col("size") * F.col("turns")).alias("taken"), *extra,
     )

@@ -15,6 +15,8 @@ so repeated rows keep the balance. Other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -78,20 +80,27 @@ def walk(arcs: list[tuple[int, int]], room: list[int]) -> dict[int, list[tuple[i
     return pieces
 
 
-def shard_rows(docs: DataFrame, shards: int = 24, nodes: int = 256, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, size, text_crc32, shard and slot (gapless from 0 in each shard) of every row."""
+def shard_rows(
+    docs: DataFrame, shards: int = 24, nodes: int = 256, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """``key``, size, text_crc32, shard and slot (gapless from 0 in each shard) of every row.
+
+    Columns named in ``carry`` travel along as a struct ``row``, apart from the operator's own.
+    """
     spark = docs.sparkSession
     body = F.col(text).cast("string")
     rows = docs.select(
         F.col(key).alias("key"),
         (F.coalesce(F.octet_length(body), F.lit(0)).cast("long") + 8).alias("size"),
         F.coalesce(F.crc32(body.cast("binary")), F.lit(0)).cast("long").alias("crc"),
+        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []),
     ).withColumn("point", ring_point(F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("-")), F.col("crc"))))
     points = ring(spark, shards, nodes)
     cells = F.broadcast(_cells(spark, points))  # 2**CELL_BITS rows whatever the input
     ahead = F.filter("points", lambda p: p["point"] >= F.col("point"))
     placed = rows.withColumn("cell", F.shiftright("point", RING_BITS - CELL_BITS).cast("long")).join(cells, "cell")
-    placed = placed.select("key", "size", "crc", "point", F.coalesce(F.get(ahead, F.lit(0))["arc"], "next").alias("arc"))
+    extra = ["row"] if carry else []
+    placed = placed.select("key", "size", "crc", "point", *extra, F.coalesce(F.get(ahead, F.lit(0))["arc"], "next").alias("arc"))
 
     counts = {r["arc"]: r["count"] for r in placed.groupBy("arc").count().collect()}  # an arc each
     owner = [r["shard"] for r in points.orderBy("arc").collect()]
@@ -107,5 +116,5 @@ def shard_rows(docs: DataFrame, shards: int = 24, nodes: int = 256, key: str = "
     own = F.filter("pieces", lambda p: (p["lo"] <= F.col("rank")) & (F.col("rank") < p["hi"]))[0]
     return ranked.withColumn("own", own).select(
         F.col("key").alias(key), "size", F.col("crc").alias("text_crc32"), F.col("own.shard").alias("shard"),
-        (F.col("own.slot") + F.col("rank") - F.col("own.lo")).alias("slot"),
+        (F.col("own.slot") + F.col("rank") - F.col("own.lo")).alias("slot"), *extra,
     )
