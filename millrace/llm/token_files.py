@@ -2,8 +2,8 @@
 
 Documents are range-partitioned by key and sorted; each task encodes its documents one after
 another, ends each with an end id, cuts the run of ids into sequences of ``length`` and writes
-them as batches of two fixed-size-list columns, ids and mask (1 for a token, 0 for the padding
-of a file's last sequence). Every batch is one block of memory, so a reader that maps the file
+them as batches of two fixed-size-list columns: ids, in the narrowest unsigned type that holds
+the vocabulary, and mask, a bit each (false for the padding of a file's last sequence). Every batch is one block of memory, so a reader that maps the file
 gets any sequence without a copy. Next to it lies an index stream: key, first id within the
 file, and number of ids of every document.
 
@@ -52,6 +52,7 @@ class WordEncoder:
         parts = probe[2].ids + probe[3].ids
         if probe[0].ids != parts or probe[1].ids != parts:
             raise ValueError(f"{path}: white space is part of its tokens, so words cannot be encoded by themselves")
+        self.size = max(self.tokenizer.get_vocab().values(), default=0) + 1
         self.known = Known(KNOWN_WORDS)
         self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
 
@@ -94,25 +95,28 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def _schema(length: int, ids: pa.DataType) -> pa.Schema:
+    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 class SequenceFile:
     """One stream file and its index, filled document by document."""
 
-    def __init__(self, folder: str, length: int, key: pa.DataType):
+    def __init__(self, folder: str, length: int, key: pa.DataType, size: int):
+        """``size``: all ids are below it."""
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        self.schema = _schema(length, pa.from_numpy_dtype(self.kind))
         self.length, self.total, self.held = length, 0, []
         self.path, self.out = open_for_write(folder, ".arrows")
         self.index_path, self.index_out = open_for_write(folder, ".index.arrows")
-        self.writer = pa.ipc.new_stream(self.out, _schema(length))
+        self.writer = pa.ipc.new_stream(self.out, self.schema)
         self.index = pa.ipc.new_stream(self.index_out, pa.schema([("key", key), ("start", pa.int64()), ("n", pa.int64())]))
 
     def add(self, keys: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         start = self.total + np.cumsum(sizes) - sizes
         self.index.write_batch(pa.record_batch([keys, pa.array(start), pa.array(sizes)], names=["key", "start", "n"]))
         self.total += len(ids)
-        self.held.append(ids)
+        self.held.append(ids.astype(self.kind))
         block = self.length * SEQUENCES
         if sum(map(len, self.held)) >= block:
             flat = np.concatenate(self.held)
@@ -122,14 +126,14 @@ class SequenceFile:
             self.held = [flat[cut:]]
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
+        mask = np.arange(len(ids)) < real
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
-        self.writer.write_batch(pa.record_batch(lists, schema=_schema(self.length)))
+        self.writer.write_batch(pa.record_batch(lists, schema=self.schema))
 
     def close(self) -> None:
-        flat = np.concatenate([np.zeros(0, np.uint32), *self.held])
+        flat = np.concatenate([np.zeros(0, self.kind), *self.held])
         if len(flat):
-            padded = np.zeros(-(-len(flat) // self.length) * self.length, np.uint32)
+            padded = np.zeros(-(-len(flat) // self.length) * self.length, self.kind)
             padded[: len(flat)] = flat
             self._write(padded, len(flat))
         for x in (self.writer, self.out, self.index, self.index_out):
@@ -152,7 +156,7 @@ def write_sequences(
             for a, b in slices(utf8(column)[1]):
                 ids, sizes = encoder.encode(column.slice(a, b - a))
                 ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
-                file = file or SequenceFile(folder, length, batch.schema.field(0).type)
+                file = file or SequenceFile(folder, length, batch.schema.field(0).type, max(encoder.size, end_id + 1))
                 file.add(batch.column(0).slice(a, b - a), ids, sizes + 1)
         if file is not None:
             file.close()
@@ -181,7 +185,7 @@ def read_documents(files: DataFrame, key: str, kind: str) -> DataFrame:
 def _documents(file: dict) -> Iterator[pa.RecordBatch]:
     """The documents of one file; batches of ids are read as the index asks for them."""
     with open_for_read(file["path"]) as a, open_for_read(file["index_path"]) as b:
-        blocks = ((x.column("ids").flatten().to_numpy(), x.column("mask").flatten().to_numpy()) for x in pa.ipc.open_stream(a))
+        blocks = ((x.column("ids").flatten().to_numpy(), x.column("mask").flatten().to_numpy(zero_copy_only=False)) for x in pa.ipc.open_stream(a))
         ids = np.zeros(0, np.uint32)
         for entry in pa.ipc.open_stream(b):
             sums = []
@@ -192,7 +196,7 @@ def _documents(file: dict) -> Iterator[pa.RecordBatch]:
                         flat, mask = next(blocks)
                         ids = flat[: int(mask.sum())]
                     part, ids = ids[:n], ids[n:]
-                    crc = zlib.crc32(part.astype("<u4", copy=False).tobytes(), crc)
+                    crc = zlib.crc32(part.astype("<u4").tobytes(), crc)
                     n -= len(part)
                 sums.append(crc)
             start = pa.array(entry.column("start").to_numpy() + file["base"])
