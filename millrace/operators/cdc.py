@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.dedup import latest_per_key
-from millrace.operators.skew import HOT_ROWS, MAX_HOT_KEYS, broadcast_if_small, next_in_key
+from millrace.operators.dedup import _orderable, latest_per_key
+from millrace.operators.skew import HOT_SHARE, next_in_key
 
 # Columns the source database adds to a captured row.
 CAPTURE_COLUMNS = (
@@ -105,21 +105,21 @@ def scd2(
     order: str = GLOBAL_ORDER,
     deletes: Column | str = IS_DELETE,
     exclude: Sequence[str] = (*DECODED_COLUMNS, GLOBAL_ORDER),
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Every version of each key with the interval [valid_from, valid_to) it held.
 
     The next change of the key closes a version; a delete closes it without opening a
-    new one. The same change delivered twice has the same sequence key, so its first
-    copy spans an empty interval and is dropped. Keys with more than ``hot_rows``
-    changes are worked on in pieces (see ``skew``).
+    new one. Changes that share their sequence key follow one another in the order of
+    their other columns, as they do for SCD type 1, so all but the last hold an empty
+    interval. A change delivered twice is equal in every column and counts once. Keys
+    with more than ``hot_share`` of all changes are worked on in pieces (see ``skew``).
     """
-    timed = next_in_key(changes, keys, order, "valid_to", hot_rows, max_hot_keys)
-    held = timed.withColumn("valid_from", F.col(order)).where(
-        F.col("valid_to").isNull() | (F.col("valid_to") != F.col("valid_from"))
-    )
-    bounds = [F.col("valid_from"), F.col("valid_to")]
+    rest = [f.name for f in changes.schema.fields if f.name not in (*keys, order) and _orderable(f.dataType)]
+    placed = changes.withColumn("__place", F.struct(order, *rest))
+    timed = next_in_key(placed, keys, "__place", "__next", hot_share)
+    held = timed.where(F.col("__next").isNull() | (F.col("__next") != F.col("__place")))
+    bounds = [F.col(order).alias("valid_from"), F.col("__next").getField(order).alias("valid_to")]
     kept = [c for c in changes.columns if c not in exclude]
     return held.where(~_deleted(deletes)).select(*kept, *bounds)
 
@@ -133,18 +133,17 @@ def scd2_refresh(
 ) -> DataFrame:
     """SCD type 2 table after new changes: only keys among ``arrived`` are rebuilt.
 
-    ``history`` holds all changes, the arrived ones included. The keys that arrived are
-    counted first; if they are few, neither table is shuffled to find its rows.
+    ``history`` holds all changes, the arrived ones included. If Spark finds the keys that
+    arrived to be few, it sends them to both tables, which are then not shuffled.
     """
     touched = arrived.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
-    touched = broadcast_if_small(touched)
 
     def on(df: DataFrame) -> list[Column]:
         return [df[k].eqNullSafe(touched[f"__t_{k}"]) for k in keys]
 
     untouched = current.join(touched, on(current), "left_anti")
     rebuilt = scd2(history.join(touched, on(history), "left_semi"), keys, **options)
-    return untouched.unionByName(rebuilt)
+    return untouched.unionByName(rebuilt, allowMissingColumns=True)
 
 
 def range_split(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:

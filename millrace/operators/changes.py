@@ -79,7 +79,7 @@ def merge_upsert(
     The target is the probe side of a left join. So a small source is broadcast and the
     target is not shuffled at all, and with a large one Spark can split target keys
     that hold many rows, which a full outer join would not allow. Spark must know that
-    the source is small: give it a stored table, or ``broadcast_if_small(source)``.
+    the source is small, so a derived one is best stored first.
     """
     if check_source:
         source = unique_by(source, keys, "merge source holds a key more than once")
@@ -99,8 +99,9 @@ def merge_upsert(
             for c in columns
         ]
     )
-    known = target.select(*keys).distinct().join(source.select(*keys), list(keys), "left_semi")
-    inserted = source.select(*columns).join(known, list(keys), "left_anti")
+    # only the target's keys that the source has, made distinct
+    hits = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    inserted = source.select(*columns).join(hits, list(keys), "left_anti")
     return kept.unionByName(inserted)
 
 

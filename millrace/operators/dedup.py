@@ -20,18 +20,35 @@ def _orderable(kind: DataType) -> bool:
 
 
 def _extreme(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], greatest: bool
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    greatest: bool,
+    tie_breakers: Sequence[str] | None,
+) -> DataFrame:
+    named = [o for o in order if isinstance(o, str)]
+    if tie_breakers is None:
+        rest = [f for f in df.schema.fields if f.name not in keys and f.name not in named]
+        tie_breakers = [f.name for f in rest if _orderable(f.dataType)]
+    if df.isStreaming:
+        return _extreme_state(df, keys, order, greatest, tie_breakers)
+    by = [as_column(o) for o in [*order, *tie_breakers]]
+    by = [c.desc_nulls_last() if greatest else c.asc_nulls_first() for c in by]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return df.withColumn("__nth", nth).where("__nth = 1").drop("__nth")
+
+
+def _extreme_state(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    greatest: bool,
+    tie_breakers: Sequence[str],
 ) -> DataFrame:
-    """The greatest or least row of each key, as one struct led by the order columns."""
-    named = [o for o in order if isinstance(o, str) and o not in keys]
-    lead = [F.col(o) if isinstance(o, str) else o.alias(f"__o{i}") for i, o in enumerate(order)]
-    rest = [f for f in df.schema.fields if f.name not in keys and f.name not in named]
-    if all(_orderable(f.dataType) for f in rest):
-        row = F.struct(*lead, *[F.col(f.name) for f in rest])
-        picked = F.max(row) if greatest else F.min(row)
-    else:
-        row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-        picked = (F.max_by if greatest else F.min_by)(row, F.struct(*lead))
+    """The same as an aggregate, which Spark can keep as the state of a stream."""
+    lead = [as_column(o).alias(f"__o{i}") for i, o in enumerate([*order, *tie_breakers])]
+    row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
+    picked = (F.max_by if greatest else F.min_by)(row, F.struct(*lead))
     found = df.groupBy(*keys).agg(picked.alias("__row"))
     return found.select(
         *[F.col(c) if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns]
@@ -39,24 +56,31 @@ def _extreme(
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    tie_breakers: Sequence[str] | None = None,
 ) -> DataFrame:
     """The row with the greatest ``order`` of every key; NULL orders first.
 
-    An aggregate rather than a row number: each task sends on at most one row per key,
-    so a key that holds a third of the table costs its reducer one row per map task.
-    It also runs on streams. Rows that share the greatest order are settled by their
-    other columns, so that a repeated task gives the same row (not where a column is a
-    map, which has no order).
+    By row number, which Spark cuts to one row per task and key before the shuffle, so a
+    key with a third of the table costs its reducer one row per task. Rows that share
+    the greatest order are settled by ``tie_breakers``: by default all other columns that
+    have an order, so that any run gives the same row; with ``[]``, for an order that is
+    unique in each key, the scan reads no more columns than the caller uses. On a stream
+    it is an aggregate kept in Spark's state.
     """
-    return _extreme(df, keys, order, True)
+    return _extreme(df, keys, order, True, tie_breakers)
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    tie_breakers: Sequence[str] | None = None,
 ) -> DataFrame:
     """Drop duplicates on ``keys`` and keep the row with the least ``order``."""
-    return _extreme(df, keys, order, False)
+    return _extreme(df, keys, order, False, tie_breakers)
 
 
 def top_n_per_group(

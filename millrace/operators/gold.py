@@ -38,13 +38,15 @@ def country_monthly_sales(
 ) -> DataFrame:
     """Total and number of sales per country and month.
 
-    Items shrink to one row per sale and country before they meet the sales, so a sale
-    with a huge number of items is never joined row by row. After the join the data is
-    laid out by sale, hence the distinct count needs no shuffle of its own.
+    Items are laid out by sale once; the sum per sale and country, the join with the sales
+    and the distinct count of sales all use that layout. Items shrink to one row per sale
+    and country before they meet the sales.
     """
     place = locations.select(F.col("id").alias("store_id"), "country_code")
     per_sale = (
         items.join(place, "store_id")
+        .select("sale_id", "country_code", "product_cost")
+        .repartition("sale_id")
         .groupBy("sale_id", "country_code")
         .agg(F.sum("product_cost").alias("cost"))
     )
@@ -96,6 +98,7 @@ def top_customers(spend: DataFrame, n: int = 3) -> DataFrame:
         "customer_spend",
         n,
         "customer_rank",
+        spread_ties=True,
     )
     return ranked.orderBy("store_id", "customer_rank")
 

@@ -1,19 +1,36 @@
-"""File layout jobs: compaction, clustering, and what a lookup has to read."""
+"""File layout jobs: compaction, clustering, and the files that hold a lookup's rows."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from millrace.sources.files import file_inventory
 
 # Fixed value: default file size of a compaction, 50 MB.
 TARGET_FILE_BYTES = 52_428_800
-# Rows looked at to choose the cut points of a clustering; the result never depends on it.
-BOUND_SAMPLE_ROWS = 20_000
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a Parquet folder is partitioned by, from the folders of one of its files."""
+    file = file_inventory(spark, path, "*.parquet").select("path").first()
+    folders = file["path"].split("/")[:-1] if file else []
+    names: list[str] = []
+    for folder in reversed(folders):
+        if "=" not in folder:
+            break
+        names.insert(0, folder.partition("=")[0])
+    return names
+
+
+def _writer(df: DataFrame, partitioned: Sequence[str]) -> DataFrameWriter:
+    writer = df.write.mode("errorifexists")
+    return writer.partitionBy(*partitioned) if partitioned else writer
 
 
 def compact(
@@ -22,13 +39,15 @@ def compact(
     """Rewrite a Parquet folder as files of about ``target_bytes``, without a shuffle.
 
     Spark's file scan already packs small files into one task up to a given size; one
-    task then writes one file. The size is set on a session of its own.
+    task then writes one file (of each partition it read). The size is set on a session
+    of its own. Columns that only some files have are kept, and so is the partitioning.
     """
     job = spark.newSession()
     job.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     job.conf.set("spark.sql.files.openCostInBytes", "0")
     job.conf.set("spark.sql.files.minPartitionNum", "1")
-    job.read.parquet(path).write.mode("errorifexists").parquet(out)
+    df = job.read.option("mergeSchema", True).parquet(path)
+    _writer(df, partition_columns(spark, path)).parquet(out)
 
 
 def files_for(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -38,16 +57,24 @@ def files_for(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BY
 
 
 def _bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[str]]:
-    """Cut points of each column, as text, from a sample of fixed size."""
-    total = df.count()
-    share = min(1.0, BOUND_SAMPLE_ROWS / max(total, 1))
-    pairs = [F.struct(F.col(c).alias("v"), F.col(c).cast("string").alias("t")).alias(c) for c in columns]
-    rows = df.select(*pairs).sample(share, seed=7).limit(2 * BOUND_SAMPLE_ROWS).collect()
-    cuts = {}
+    """Cut points of each column, as text, that part its rows into about equal ranges.
+
+    Numbers and times: their percentiles, all in one aggregate. Other types: the least
+    values of as many range partitions. Only the cut points reach the driver.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [c for c in columns if isinstance(kinds[c], (NumericType, DateType, TimestampType, TimestampNTZType))]
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts: dict[str, list[str]] = {}
+    if numeric:
+        found = [F.percentile_approx(c, shares, 100 * buckets).cast("array<string>").alias(c) for c in numeric]
+        row = df.select(*numeric).agg(*found).first()
+        cuts |= {c: list(dict.fromkeys(row[c] or [])) for c in numeric}
     for c in columns:
-        seen = sorted((r[c]["v"], r[c]["t"]) for r in rows if r[c]["v"] is not None)
-        picked = [seen[len(seen) * i // buckets] for i in range(1, buckets)] if seen else []
-        cuts[c] = [text for _, text in sorted(set(picked))]
+        if c not in cuts:
+            parts = df.select(c).where(F.col(c).isNotNull()).repartitionByRange(buckets, c)
+            least = parts.groupBy(F.spark_partition_id().alias("part")).agg(F.min(c).alias("v")).orderBy("v")
+            cuts[c] = [r["t"] for r in least.select(F.col("v").cast("string").alias("t")).collect()][1:]
     return cuts
 
 
@@ -89,13 +116,17 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     return reduce(lambda x, y: x.bitwiseOR(y), spread)
 
 
-def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
+def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int | None = None) -> DataFrame:
     """Rows clustered by several columns in ``files`` range partitions.
 
-    One column is a plain range sort. Within one z cell the columns themselves cut
-    further, and a hash of the whole row last, so that neither a crowded cell nor one
-    value held by a third of the rows ends up in a single file.
+    One column is a plain range sort. The ranges of a column follow the number of files:
+    twice as many as an equal share of the files for each column, or 2**``bits``. Within
+    one z cell the columns themselves cut further, and a hash of the whole row last, so
+    that neither a crowded cell nor one value held by a third of the rows ends up in a
+    single file.
     """
+    if bits is None:
+        bits = math.ceil(math.log2(max(files, 2)) / len(columns)) + 1
     z = [] if len(columns) == 1 else ["__z"]
     shaped = df.withColumn("__z", z_value(df, columns, bits)) if z else df
     return (
@@ -113,12 +144,16 @@ def optimize(
     zorder_by: Sequence[str] = (),
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
-    """Compact a folder, clustered by the given columns if there are any."""
+    """Compact a folder, clustered by the given columns if there are any.
+
+    Columns that only some files have are kept, and so is the partitioning.
+    """
     if not zorder_by:
         compact(spark, path, out, target_bytes)
         return
     files = files_for(spark, path, target_bytes)
-    zorder(spark.read.parquet(path), zorder_by, files).write.mode("errorifexists").parquet(out)
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    _writer(zorder(df, zorder_by, files), partition_columns(spark, path)).parquet(out)
 
 
 def files_holding(df: DataFrame, condition: Column | str) -> DataFrame:
@@ -130,18 +165,3 @@ def files_holding(df: DataFrame, condition: Column | str) -> DataFrame:
         .groupBy("file_path")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-
-
-def column_ranges(df: DataFrame, column: str) -> DataFrame:
-    """Least and greatest value of a column in every file: what min/max skipping sees."""
-    return (
-        df.select(F.col("_metadata.file_path").alias("file_path"), F.col(column).alias("v"))
-        .groupBy("file_path")
-        .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("rows"))
-    )
-
-
-def files_to_read(df: DataFrame, column: str, value) -> int:
-    """Files a point lookup cannot skip by min/max."""
-    ranges = column_ranges(df, column)
-    return ranges.where((F.col("low") <= F.lit(value)) & (F.col("high") >= F.lit(value))).count()

@@ -20,8 +20,12 @@ def mask_columns(
     allowed: str = "admins",
     mask: str = "REDACTED",
 ) -> DataFrame:
+    """``columns`` as they are for members of ``allowed``, else the mask, or NULL where a column
+    is not text."""
     member = is_member(groups, allowed)
-    return df.withColumns({c: F.when(member, F.col(c)).otherwise(mask) for c in columns})
+    kinds = dict(df.dtypes)
+    hidden = {c: F.lit(mask if kinds[c] == "string" else None).cast(kinds[c]) for c in columns}
+    return df.withColumns({c: F.when(member, F.col(c)).otherwise(h) for c, h in hidden.items()})
 
 
 def restrict_rows(

@@ -71,6 +71,12 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn("broken_rules", broken).where(F.size("broken_rules") > 0)
 
 
+# The columns of a report.
+REPORT = (
+    "dataset string, name string, on_violation string, passed_records long, failed_records long, dropped_records long"
+)
+
+
 def quality_report(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
     """One row per rule: passed, failed and dropped records, from a single aggregation."""
     counts = [F.count(F.lit(1)).alias("rows")]

@@ -13,51 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key that a task may sort on its own.
-HOT_ROWS = 5_000_000
-# A key is also ordinary while it holds less than one part in MAX_HOT_KEYS of the rows.
-# So there can never be more hot keys than this, whatever the volume.
-MAX_HOT_KEYS = 65_536
+# A key is hot if it holds more than this share of the rows. So there are never more than
+# 1/HOT_SHARE hot keys, and the rows of one ordinary key are a fixed part of the whole.
+HOT_SHARE = 1 / 4096
 
 
-# Rows that may be sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows it is small, else as it is.
-
-    For the small side of a join whose size Spark cannot know when it plans, such as the
-    keys of new rows: unmarked, the large side would be shuffled before the other side
-    turns out small.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """Keys holding more than ``hot_rows`` rows and more than 1/``max_keys`` of all."""
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys holding more than ``share`` of the rows: from one count of the rows by key."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    total = df.agg(F.count(F.lit(1)).alias("__total")).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), total / F.lit(max_keys))
-    return counts.where(F.col("__rows") > limit).select(*keys)
+    total = counts.agg(F.sum("__rows").alias("__total")).scalar()  # over the same, reused, shuffle
+    return counts.where(F.col("__rows") > total * F.lit(share)).select(*keys)
 
 
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys); together they are ``df``.
 
-    The list of hot keys is broadcast: it has at most ``max_keys`` rows by construction.
+    The list of hot keys is broadcast: it has at most 1/``share`` rows by construction.
     """
-    hot = hot_keys(df, keys, hot_rows, max_keys)
+    hot = hot_keys(df, keys, share)
     hot = F.broadcast(hot.select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]))
     same = [df[k].eqNullSafe(hot[f"__hot_{i}"]) for i, k in enumerate(keys)]
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
@@ -68,17 +41,18 @@ def next_in_key(
     keys: Sequence[str],
     order: str,
     name: str,
-    hot_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
     """Add ``name``: the ``order`` of the following row of the same key, NULL at the end.
 
+    ``order`` should be unique in a key; among rows that tie in it, which follows which is open.
+
     Ordinary keys use ``lead``. Hot keys are range-partitioned by (key, order), so that
     one key spreads over many tasks; ``lead`` runs inside each piece, and a second
     ``lead`` over only the first and last row of every piece closes the seams. The
     answer does not depend on where the pieces were cut.
     """
-    cold, hot = split_hot(df, keys, hot_rows, max_keys)
+    cold, hot = split_hot(df, keys, share)
     plain = Window.partitionBy(*keys).orderBy(order)
     cold = cold.withColumn(name, F.lead(order).over(plain))
 

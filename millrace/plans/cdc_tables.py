@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.cdc import decode_changes, live_rows, scd2, scd2_refresh
-from millrace.sources.files import read_if_present, sample_schema
+from millrace.sources.files import read_if_present, staged_schema
 from millrace.sources.streams import stream_parquet
 from millrace.streaming.runs import run_once
-from millrace.streaming.scd import append_history, fold_scd1, read_history
+from millrace.streaming.scd import LOAD, append_history, fold_scd1, read_history
 
 
 @dataclass(frozen=True)
@@ -48,21 +47,28 @@ class CdcTables:
         self.staged = f"{staged_root.rstrip('/')}/{spec.name}"
         self.root = f"{out_root.rstrip('/')}/{spec.name}"
 
-    @cached_property
+    @property
     def schema(self):
-        """Taken from a few staged files, then kept."""
-        return sample_schema(self.spark, self.staged)
+        """Of all staged files, late columns included."""
+        return staged_schema(self.spark, self.staged)
 
-    def load(self, load_id: int) -> None:
+    def load(self, load_id: int | None = None) -> int:
         """Staged files to bronze, bronze to decoded history, then both SCD tables.
 
-        ``load_id`` must grow from load to load. A load that died is finished by the
-        next one: the streams go on from their checkpoints, and each table takes in
-        every load after the last it holds.
+        ``load_id`` has to be above that of every load in the history; by default it is the
+        next one. Returns it. A load that died is finished by the next one: the streams go
+        on from their checkpoints, and each table takes in every load after the last it
+        holds. A column first seen in a new file is NULL in the rows before it.
         """
-        staged = stream_parquet(self.spark, self.staged, self.schema)
+        last = self._last_load()
+        if load_id is None:
+            load_id = 0 if last is None else last + 1
+        if last is not None and load_id <= last:
+            raise ValueError(f"load {load_id} of {self.spec.name} is not after the last one, {last}")
+        schema = self.schema
+        staged = stream_parquet(self.spark, self.staged, schema)
         run_once(staged, f"{self.root}/bronze", f"{self.root}/_checkpoints/bronze")
-        bronze = stream_parquet(self.spark, f"{self.root}/bronze", self.schema)
+        bronze = stream_parquet(self.spark, f"{self.root}/bronze", schema)
         append_history(
             decode_changes(bronze),
             f"{self.root}/history",
@@ -78,6 +84,14 @@ class CdcTables:
         else:
             second = scd2_refresh(current, self.history, self._arrived(done), keys)
         self._publish("scd2", second, load_id)
+        return load_id
+
+    def _last_load(self) -> int | None:
+        """The highest load number that history or a published table knows."""
+        history = read_if_present(self.spark, f"{self.root}/history")
+        known = [] if history is None else [history.agg(F.max(LOAD)).first()[0]]
+        known += [self._published(name)[0] for name in ("scd1_state", "scd2")]
+        return max((n for n in known if n is not None), default=None)
 
     def _arrived(self, done: int | None) -> DataFrame:
         return read_history(self.spark, f"{self.root}/history", done)
@@ -102,7 +116,7 @@ class CdcTables:
 
     @property
     def bronze(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/bronze")
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/bronze")
 
     @property
     def changes(self) -> DataFrame:

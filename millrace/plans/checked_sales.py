@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from millrace.operators.gold import (
 )
 from millrace.operators.items import explode_items, rename_sales
 from millrace.operators.quality import (
+    REPORT,
     Rule,
     expect,
     parse_quality_events,
@@ -24,7 +26,7 @@ from millrace.plans.lakehouse import SALES_FIELDS, SALES_HINTS, with_country
 from millrace.sinks.tables import save_table
 from millrace.sources.files import query_path
 from millrace.sources.streams import stream_json, stream_parquet
-from millrace.streaming.runs import run_once
+from millrace.streaming.runs import observed, run_once
 
 # Names and conditions of the rules.
 SALES_RULES = (
@@ -55,10 +57,17 @@ class CheckedSales:
     data: str
     root: str
 
-    def _append(self, stream: DataFrame, name: str) -> DataFrame:
+    def _append(self, stream: DataFrame, name: str, rules: tuple[Rule, ...] = ()) -> DataFrame:
         path = f"{self.root}/{name}"
-        run_once(stream, path, f"{self.root}/_checkpoints/{name}")
-        return self.spark.read.parquet(path)
+        if rules:
+            stream = expect(stream, rules, observation=name)
+        query = run_once(stream, path, f"{self.root}/_checkpoints/{name}")
+        if rules:
+            counts = observed(query, name, rules)
+            report = self.spark.createDataFrame(counts, REPORT)
+            events = quality_events(report, uuid.uuid4().hex)
+            events.write.mode("append").parquet(f"{self.root}/_quality_events")
+        return self.spark.read.option("mergeSchema", True).parquet(path)
 
     def _bronze_stream(self, bronze: DataFrame) -> DataFrame:
         return rename_sales(stream_parquet(self.spark, f"{self.root}/bronze_sales", bronze.schema))
@@ -68,9 +77,9 @@ class CheckedSales:
         raw = stream_json(spark, self.landing, SALES_HINTS, SALES_FIELDS)
         bronze = self._append(raw, "bronze_sales")
         cleaned = self._bronze_stream(bronze)
-        sales = self._append(expect(cleaned, SALES_RULES), "silver_sales")
+        sales = self._append(cleaned, "silver_sales", SALES_RULES)
         itemised = explode_items(cleaned, hashed=False)
-        items = self._append(expect(itemised, ITEM_RULES), "silver_sale_items")
+        items = self._append(itemised, "silver_sale_items", ITEM_RULES)
 
         users = dim_customers(query_path(spark, "json", f"{self.data}/users.json"))
         locations = with_country(query_path(spark, "json", f"{self.data}/stores.json"))
@@ -83,6 +92,10 @@ class CheckedSales:
         tables = {n: save_table(df, n, f"{self.root}/{n}") for n, df in gold.items()}
         return {**tables, "bronze_sales": bronze, "silver_sales": sales, "silver_sale_items": items}
 
+    def updates(self) -> DataFrame:
+        """Pass and fail counts of every update, as the streams themselves counted them."""
+        return parse_quality_events(self.spark.read.parquet(f"{self.root}/_quality_events"))
+
     def quality(self, event_id: str = "update") -> DataFrame:
         """Pass and fail counts over everything taken in so far, as event lines."""
         sales = rename_sales(self.spark.read.parquet(f"{self.root}/bronze_sales"))

@@ -18,7 +18,6 @@ from millrace.operators.gold import (
     top_customers,
 )
 from millrace.operators.items import clean_sales, explode_items
-from millrace.operators.skew import broadcast_if_small
 from millrace.sinks.tables import save_table
 from millrace.sources.files import read_csv, read_if_present, read_json
 from millrace.sources.streams import stream_json
@@ -99,55 +98,53 @@ class Lakehouse:
     @property
     def bronze_sales(self) -> DataFrame:
         """All sales that arrived, with drifted times repaired from the rescued data."""
-        return repair_from_rescued(self.spark.read.parquet(self.bronze_path))
+        return repair_from_rescued(self._bronze())
+
+    def _bronze(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", True).parquet(self.bronze_path)
 
     def refresh_sales(self) -> DataFrame:
         """Bring silver sales and their items up to date with bronze.
 
-        Only sales that arrived since the last refresh are derived anew, from all their
-        exports, and merged into silver; the items of those sales are replaced. With a
-        small arrival neither bronze nor silver is shuffled.
+        Only sales in bronze files that no refresh has seen are derived anew, from all
+        their exports, and merged into silver; the items of those sales are replaced. No
+        clock is asked: a file counts once, whenever it was written. Files that arrive
+        meanwhile are left to the next refresh, as the list of files is taken once.
         """
         spark = self.spark
-        bronze = self.bronze_sales
-        done = self._refreshed()
+        raw = self._bronze()
+        bronze = repair_from_rescued(raw.withColumn("__file", F.col("_metadata.file_path")))
+        done = read_if_present(spark, f"{self.root}/silver/_refreshed_files")
         if done is None:
+            arrived = bronze
             latest = self._latest(bronze)
             sales = self._save(latest, "silver", "silver_sales")
             self._save(explode_items(sales), "silver", "silver_sale_items")
         else:
-            arrived = bronze.where(F.col("inserted_at") > F.timestamp_micros(F.lit(done)))
-            touched = broadcast_if_small(arrived.select("SaleID").distinct())
-            latest = self._latest(bronze.join(touched, "SaleID", "left_semi"))
+            arrived = bronze.join(done, "__file", "left_anti")
+            touched = arrived.select(F.col("SaleID").alias("__sale")).distinct()
+            latest = self._latest(bronze.join(touched, F.col("SaleID").eqNullSafe(F.col("__sale")), "left_semi"))
             # written once: used several times below, and of a size Spark then knows
             fresh = f"{self.root}/silver/_arrived/{uuid.uuid4().hex}"
             latest.write.mode("errorifexists").parquet(fresh)
             latest = spark.read.parquet(fresh)
+            new = latest.select(F.col("id").alias("__sale"))
+            # sales without an id are one row, as on the first load
+            silver = spark.table("silver_sales")
+            nameless = F.col("id").isNull() & F.col("__sale").isNull()
+            silver = silver.join(new.where("__sale IS NULL"), nameless, "left_anti")
             # one row per sale by construction, so no check
-            merged = merge_upsert(
-                spark.table("silver_sales"), latest, ["id"], check_source=False
-            )
-            touched = touched.withColumnRenamed("SaleID", "sale_id")
-            kept = spark.table("silver_sale_items").join(touched, "sale_id", "left_anti")
+            merged = merge_upsert(silver, latest, ["id"], check_source=False)
+            kept = spark.table("silver_sale_items")
+            kept = kept.join(new, F.col("sale_id").eqNullSafe(F.col("__sale")), "left_anti")
             items = kept.unionByName(explode_items(latest))
             sales = self._save(merged, "silver", "silver_sales")
             self._save(items, "silver", "silver_sale_items")
-        mark = bronze.agg(F.max("inserted_at").alias("upto"))
-        mark.write.mode("append").parquet(f"{self.root}/silver/_refreshes")
+        arrived.select("__file").distinct().write.mode("append").parquet(f"{self.root}/silver/_refreshed_files")
         return sales
 
     def _latest(self, bronze: DataFrame) -> DataFrame:
-        return clean_sales(bronze, tie_breakers=("inserted_at", "file_path"))
-
-    def _refreshed(self) -> int | None:
-        """Ingest time, in microseconds, of the newest batch in silver.
-
-        Batches come one after the other, so everything later is new.
-        """
-        marks = read_if_present(self.spark, f"{self.root}/silver/_refreshes")
-        if marks is None:
-            return None
-        return marks.agg(F.unix_micros(F.max("upto")).alias("upto")).first()["upto"]
+        return clean_sales(bronze.drop("__file"), tie_breakers=("inserted_at", "file_path"))
 
     def build_gold(self) -> dict[str, DataFrame]:
         table = self.spark.table

@@ -32,16 +32,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-_opened: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its schema and file list are looked up once per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    opened = _opened.get((spark.conf.get("spark.app.id"), path))
-    if opened is None or opened.sparkSession is not spark:
-        opened = _opened[(spark.conf.get("spark.app.id"), path)] = spark.read.parquet(path)
-    return opened
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def money(column: str) -> Column:

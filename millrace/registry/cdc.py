@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
-from millrace.operators.changes import table_mismatch
+from millrace.operators.dedup import latest_per_key
 from millrace.operators.skew import next_in_key
-from millrace.plans.cdc_tables import TableSpec, build_cdc
+from millrace.plans.cdc_tables import TableSpec, build_cdc, specs_from_conf
 from millrace.registry.base import query, table
 from millrace.session import scratch_path
 from millrace.sources.streams import stream_parquet
-from millrace.streaming.scd import append_history, fold_scd1, read_history
+from millrace.streaming.scd import fold_scd1
+from millrace.streaming.scd import scd1_stream as scd1_state_stream
 
 
 def _bytes(number: Column) -> Column:
@@ -129,42 +130,51 @@ def scd2(spark: SparkSession, sf: str) -> DataFrame:
     return _seq_bounds(cdc.scd2(cdc.decode_changes(captured(spark, sf)), ["user_id"]))
 
 
-def _agreement(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Rows of the first table of each pair, and rows that only one of the two has."""
-    lines = []
-    for name, (one, other) in pairs.items():
-        rows = (one, F.lit(1), F.lit(0))
-        odd = (table_mismatch(one, other), F.lit(0), F.lit(1))
-        for df, n, bad in (rows, odd):
-            lines.append(df.select(F.lit(name).alias("target"), n.alias("n"), bad.alias("bad")))
-    return (
-        reduce(DataFrame.unionByName, lines)
-        .groupBy("target")
-        .agg(F.sum("n").alias("total_rows"), F.sum("bad").alias("mismatches"))
-    )
+def _tagged(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several tables of users' changes, each under its name."""
+    parts = []
+    for name, df in tables.items():
+        bounds = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("valid_from", "valid_to")]
+        parts.append(df.select(F.lit(name).alias("target"), "user_id", "event_id", "value", *bounds))
+    return reduce(DataFrame.unionByName, parts)
 
 
-@query(
-    f"""
-SELECT 'scd1' AS target, (SELECT count(*) FROM ({SCD1})) AS total_rows, 0 AS mismatches
-UNION ALL
-SELECT 'scd2', (SELECT count(*) FROM ({SCD2})), 0
-"""
-)
+def _tagged_sql(names: dict[str, str]) -> str:
+    plain = "user_id, event_id, value, NULL::VARCHAR AS valid_from, NULL::VARCHAR AS valid_to"
+    own = {"scd1": (plain, SCD1), "scd2": ("*", SCD2), "history": (plain, CHANGES)}
+    return " UNION ALL ".join(f"SELECT '{n}' AS target, {own[k][0]} FROM ({own[k][1]})" for n, k in names.items())
+
+
+@query(_tagged_sql({"first scd1": "scd1", "first scd2": "scd2", "last scd1": "scd1", "last scd2": "scd2"}))
 def scd_convergence(spark: SparkSession, sf: str) -> DataFrame:
     """Four loads applied first to last and last to first end in the same tables."""
     events = table(spark, sf, "events")
     load = F.least(F.floor(F.dayofmonth("ts") / 8), F.lit(3)).alias("load")
     decoded = cdc.decode_changes(as_capture(events, load))
     loads = [decoded.where(F.col("load") == i).drop("load") for i in range(4)]
-
-    def tables(arrivals: list[DataFrame]) -> dict[str, DataFrame]:
+    tables = {}
+    for name, arrivals in (("first", loads), ("last", loads[::-1])):
         state = reduce(lambda s, a: fold_scd1(s, a, ["user_id"]), arrivals, None)
         whole = reduce(DataFrame.unionByName, arrivals)
-        return {"scd1": cdc.live_rows(state), "scd2": _seq_bounds(cdc.scd2(whole, ["user_id"]))}
+        tables[f"{name} scd1"] = cdc.live_rows(state)
+        tables[f"{name} scd2"] = _seq_bounds(cdc.scd2(whole, ["user_id"]))
+    return _tagged(tables)
 
-    first, last = tables(loads), tables(loads[::-1])
-    return _agreement({name: (first[name], last[name]) for name in first})
+
+TIES = f"""
+SELECT user_id, event_id, value, lsn AS valid_from,
+       lead(lsn) OVER (PARTITION BY user_id ORDER BY lsn, code, event_id) AS valid_to, op
+FROM ({CHANGES})
+"""
+
+
+@query(f"SELECT user_id, event_id, value, valid_from, valid_to FROM ({TIES}) WHERE op IS DISTINCT FROM 'DELETE'")
+def scd2_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes known only by their hour, every one of them delivered twice."""
+    rows = captured(spark, sf).withColumns({"__$command_id": F.lit(0), "__$seqval": F.lit(None).cast("binary")})
+    changes = cdc.decode_changes(rows)
+    second = cdc.scd2(changes.unionByName(changes), ["user_id"])
+    return second.withColumns({c: F.hex(F.col(c)["__$start_lsn"]) for c in ("valid_from", "valid_to")})
 
 
 @query(
@@ -202,21 +212,22 @@ def range_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(SCD1)
 def scd1_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Changes streamed into a history in two loads, the state folded after each."""
+    """Changes streamed into Spark's state; each batch hands on the keys that changed."""
     root = scratch_path(spark, "scd1_stream")
     rows = captured(spark, sf)
-    state = None
-    for load_id, condition in enumerate(["hour < 12", "hour >= 12"]):
-        landed = as_capture(table(spark, sf, "events"), F.hour("ts").alias("hour"))
+    landed = as_capture(table(spark, sf, "events"), F.hour("ts").alias("hour"))
+    for condition in ("hour >= 12", "hour < 12"):
         landed.where(condition).drop("hour").write.mode("append").parquet(f"{root}/staged")
-        stream = stream_parquet(spark, f"{root}/staged", rows.schema, max_files=4)
-        append_history(
-            cdc.decode_changes(stream), f"{root}/history", f"{root}/_checkpoint", load_id
-        )
-        arrived = read_history(spark, f"{root}/history", load_id - 1)
-        fold_scd1(state, arrived, ["user_id"]).write.parquet(f"{root}/state_{load_id}")
-        state = spark.read.parquet(f"{root}/state_{load_id}")
-    return cdc.live_rows(state)
+    stream = stream_parquet(spark, f"{root}/staged", rows.schema, max_files=4)
+    state = scd1_state_stream(cdc.decode_changes(stream), ["user_id"])
+
+    def keep(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{root}/updates/batch={batch}")
+
+    writer = state.writeStream.outputMode("update").option("checkpointLocation", f"{root}/_checkpoint")
+    writer.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+    updates = spark.read.parquet(f"{root}/updates")
+    return cdc.live_rows(latest_per_key(updates, ["user_id"], ["batch"], []).drop("batch"))
 
 
 @query(SCD2)
@@ -230,27 +241,65 @@ def scd2_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _seq_bounds(cdc.scd2_refresh(current, changes.drop("day"), arrived, ["user_id"]))
 
 
-@query(
-    f"""
-SELECT 'scd1' AS target, (SELECT count(*) FROM ({SCD1})) AS total_rows, 0 AS mismatches
-UNION ALL
-SELECT 'scd2', (SELECT count(*) FROM ({SCD2})), 0
-UNION ALL
-SELECT 'history', (SELECT count(*) FROM ({CHANGES})), 0
-"""
-)
+def _staged(spark: SparkSession, sf: str) -> DataFrame:
+    return as_capture(table(spark, sf, "events"), (F.dayofmonth("ts") < 16).alias("early"))
+
+
+KINDS = ("scd1", "scd2", "history")
+
+
+@query(_tagged_sql({f"{n} {k}": k for n in ("ordered", "reversed") for k in KINDS}))
 def cdc_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Two configured tables built from staged files that arrive in opposite orders."""
     root = scratch_path(spark, "cdc_tables")
-    specs = [TableSpec("ordered", ("user_id",)), TableSpec("reversed", ("user_id",))]
-    tables = build_cdc(spark, specs, f"{root}/staged", f"{root}/out")
-    staged = as_capture(table(spark, sf, "events"), (F.dayofmonth("ts") < 16).alias("early"))
-    for load_id in range(2):
-        for name, early in (("ordered", load_id == 0), ("reversed", load_id == 1)):
+    prefix = f"millrace.{root.rsplit('-', 1)[1]}"
+    for n, name in enumerate(("ordered", "reversed")):
+        spark.conf.set(f"{prefix}.{n}.name", name)
+        spark.conf.set(f"{prefix}.{n}.keys", "user_id")
+    tables = build_cdc(spark, specs_from_conf(spark, prefix), f"{root}/staged", f"{root}/out")
+    staged = _staged(spark, sf)
+    for load in range(2):
+        for name, early in (("ordered", load == 0), ("reversed", load == 1)):
             part = staged.where(F.col("early") == F.lit(early)).drop("early")
             part.write.mode("append").parquet(f"{root}/staged/{name}")
-            tables[name].load(load_id)
-    a, b = tables["ordered"], tables["reversed"]
-    return _agreement(
-        {"scd1": (a.scd1, b.scd1), "scd2": (a.scd2, b.scd2), "history": (a.history, b.history)}
-    )
+            tables[name].load()
+    found = {}
+    for name, t in tables.items():
+        found |= {f"{name} scd1": t.scd1, f"{name} scd2": _seq_bounds(t.scd2), f"{name} history": t.history}
+    return _tagged(found)
+
+
+@query(SCD2)
+def cdc_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """A load whose number was used before is refused; the next one takes in all files."""
+    root = scratch_path(spark, "cdc_reload")
+    built = build_cdc(spark, [TableSpec("users", ("user_id",))], f"{root}/staged", f"{root}/out")["users"]
+    staged = _staged(spark, sf)
+    staged.where("early").drop("early").write.parquet(f"{root}/staged/users")
+    built.load(1)
+    staged.where("NOT early").drop("early").write.mode("append").parquet(f"{root}/staged/users")
+    try:
+        built.load(1)
+    except ValueError:
+        built.load(2)
+    return _seq_bounds(built.scd2)
+
+
+@query(
+    f"""
+SELECT s.user_id, s.event_id, s.value, CASE WHEN day(e.ts) >= 16 THEN 2 * s.event_id END AS late
+FROM ({SCD1}) s JOIN events e ON e.event_id = s.event_id
+"""
+)
+def late_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Current rows of a table whose captures had no column ``late`` in the first five files."""
+    root = scratch_path(spark, "late_column")
+    built = build_cdc(spark, [TableSpec("users", ("user_id",))], f"{root}/staged", f"{root}/out")["users"]
+    staged = _staged(spark, sf)
+    first = staged.where("early").drop("early")
+    first.repartition(5, "event_id").write.parquet(f"{root}/staged/users")
+    built.load()
+    later = staged.where("NOT early").drop("early").withColumn("late", F.col("event_id") * 2)
+    later.write.mode("append").parquet(f"{root}/staged/users")
+    built.load()
+    return built.scd1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import layout
 from millrace.registry.base import as_text, query, seconds, table
 from millrace.session import scratch_path
-from millrace.sinks.tables import append_evolving, write_json
+from millrace.sinks.tables import append_evolving, create_table_as, save_table, write_json
 from millrace.sources import files
 from millrace.sources.streams import stream_json
 from millrace.streaming.runs import run_once
@@ -36,8 +36,7 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
             ["event_id", "user_id", "event_type", "ts", "value"],
         )
         run_once(stream, f"{root}/bronze", f"{root}/_checkpoint")
-    bronze = spark.read.parquet(f"{root}/bronze").where("_rescued_data IS NULL")
-    return bronze.select("event_id", "user_id", "event_type", "ts", "value")
+    return spark.read.parquet(f"{root}/bronze").select("event_id", "user_id", "event_type", "ts", "value")
 
 
 PART = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
@@ -109,15 +108,60 @@ def zorder(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(LINES)
 def compact(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items written as files of a sixteenth of the target, then compacted."""
-    root = scratch_path(spark, "compact")
-    count = 16 * layout.files_for(spark, _path(sf))
-    table(spark, sf, "lineitem").repartition(count).write.parquet(f"{root}/small")
-    layout.compact(spark, f"{root}/small", f"{root}/large")
-    return _lines(spark.read.parquet(f"{root}/large"))
-
-
-@query()
-def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """The test tables' own files."""
-    return files.file_inventory(spark, sf, "*.parquet")
+    """The files of the line items, compacted."""
+    out = scratch_path(spark, "compact")
+    layout.compact(spark, _path(sf), out)
+    return _lines(spark.read.parquet(out))
+
+
+@query(
+    """
+SELECT l_orderkey, l_linenumber, l_returnflag,
+       CASE WHEN l_linestatus = 'O' THEN l_quantity END AS l_quantity
+FROM lineitem
+"""
+)
+def compact_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """A partitioned folder whose first files lack a column, compacted and then clustered."""
+    root = scratch_path(spark, "compact_evolved")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
+    closed = lines.where("l_linestatus <> 'O'").drop("l_linestatus", "l_quantity")
+    opened = lines.where("l_linestatus = 'O'").drop("l_linestatus")
+    for part in (closed, opened):
+        part.write.mode("append").partitionBy("l_returnflag").parquet(f"{root}/grown")
+    layout.optimize(spark, f"{root}/grown", f"{root}/compact")
+    layout.optimize(spark, f"{root}/compact", f"{root}/clustered", ["l_orderkey", "l_linenumber"])
+    return spark.read.parquet(f"{root}/clustered")
+
+
+SAVED = """
+SELECT p_partkey, p_brand, length(p_name) > 5 AS long_name, 'part' AS source_name, TRUE AS timed FROM part
+"""
+
+
+@query(SAVED)
+def sorted_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table made by CREATE TABLE AS from a sorted save with provenance columns."""
+    root = scratch_path(spark, "sorted_table")
+    name = f"parts_{root.rsplit('-', 1)[1]}"
+    part = files.with_provenance(spark.read.parquet(f"{sf.rstrip('/')}/part.parquet"))
+    found = part.select(
+        "p_partkey",
+        "p_brand",
+        (F.length("p_name") > 5).alias("long_name"),
+        F.regexp_extract("file_path", r"/([a-z]+)\.parquet", 1).alias("source_name"),
+        F.col("inserted_at").isNotNull().alias("timed"),
+    )
+    save_table(found, name, f"{root}/saved", sort_by=["p_brand"], comment="parts by brand")
+    create_table_as(spark, f"{name}_copy", f"SELECT * FROM {name}")
+    return spark.table(f"{name}_copy")
+
+
+@query("SELECT p_partkey, p_size, p_retailprice, p_name FROM part")
+def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV with inferred types; the key is inferred as an int and widened."""
+    path = scratch_path(spark, "csv_inferred")
+    part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_name")
+    part.write.options(header=True, quote='"').csv(path)
+    back = files.read_csv(spark, path)
+    return back.select(*[F.col(f.name).cast(f.dataType) for f in part.schema.fields])

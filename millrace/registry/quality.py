@@ -10,7 +10,7 @@ from millrace.operators.quality import Rule
 from millrace.registry.base import query, table
 from millrace.session import scratch_path
 from millrace.sources.streams import stream_parquet
-from millrace.streaming.runs import run_once
+from millrace.streaming.runs import observed, run_once
 
 ORDER_RULES = (
     Rule("priority is named", "length(o_orderpriority) > 4", "fail"),
@@ -95,7 +95,9 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 SELECT event_id, user_id, user_id || '-' || event_type AS user_action,
-       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
+       (SELECT count(*) FROM events WHERE event_type <> 'error') AS passed,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS failed
 FROM events WHERE event_type <> 'error'
 """
 )
@@ -106,14 +108,11 @@ def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
 
     schema = table(spark, sf, "events").schema
     events = stream_parquet(spark, f"{sf.rstrip('/')}/events*.parquet", schema)
-    checked = quality.expect(
-        events,
-        [
-            Rule("known user", "user_id IS NOT NULL", "fail"),
-            Rule("no errors", "event_type <> 'error'", "drop"),
-        ],
-        observation="events_checked",
-    )
+    rules = [
+        Rule("known user", "user_id IS NOT NULL", "fail"),
+        Rule("no errors", "event_type <> 'error'", "drop"),
+    ]
+    checked = quality.expect(events, rules, observation="events_checked")
     cleaned = checked.select(
         "event_id",
         "user_id",
@@ -121,5 +120,7 @@ def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
         as_text("ts").alias("ts_text"),
     )
     root = scratch_path(spark, "stream_clean")
-    run_once(cleaned, f"{root}/events", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/events")
+    done = run_once(cleaned, f"{root}/events", f"{root}/_checkpoint")
+    counts = {name: (passed, failed) for _, name, _, passed, failed, _ in observed(done, "events_checked", rules)}
+    clean = spark.read.parquet(f"{root}/events")
+    return clean.withColumns({"passed": F.lit(counts["no errors"][0]).cast("long"), "failed": F.lit(counts["no errors"][1]).cast("long")})

@@ -28,7 +28,7 @@ def latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
     )
     order = [F.coalesce(F.col("exported_ts"), F.lit(0))]
     order += ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    latest = dedup.latest_per_key(lines, ["l_orderkey", "l_linenumber"], order)
+    latest = dedup.latest_per_key(lines, ["l_orderkey", "l_linenumber"], order, tie_breakers=[])
     return latest.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"
     )
@@ -246,16 +246,18 @@ def restrict_rows(spark: SparkSession, sf: str) -> DataFrame:
     return shown.select("c_custkey", "c_name", "c_nationkey")
 
 
-LEFT_PARTS = "SELECT p_brand, p_type, p_size FROM part WHERE p_size < 40"
-RIGHT_PARTS = "SELECT p_brand, p_type, p_size FROM part WHERE p_retailprice > 950"
+LEFT_PARTS = "SELECT p_brand, p_type, p_size FROM part"
+RIGHT_PARTS = (
+    "SELECT p_brand, p_type, CAST(p_size + (p_partkey % 7 = 0)::INT AS INT) AS p_size FROM part"
+)
 
 
 def _two_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     part = table(spark, sf, "part")
     columns = ["p_brand", "p_type", "p_size"]
     return (
-        part.where("p_size < 40").select(*columns),
-        part.where("p_retailprice > 950").select(*columns),
+        part.select(*columns),
+        part.withColumn("p_size", F.expr("p_size + int(p_partkey % 7 = 0)")).select(*columns),
     )
 
 

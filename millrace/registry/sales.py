@@ -199,7 +199,8 @@ def raw_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     """The whole way: raw exports, silver sales, items from JSON, months by country."""
     silver = clean_sales(raw_sales(spark, sf))
     itemised = explode_items(silver, hashed=False).withColumn("product_cost", money("product_cost"))
-    places = spark.createDataFrame([(f"S{n}",) for n in range(5)], "id string").withColumn(
+    codes = table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey") % 5).alias("id"))
+    places = codes.distinct().withColumn(
         "country_code", classify("id", {"AUS": ("S0", "S1"), "NZL": ("S2",)})
     )
     return _double(gold.country_monthly_sales(itemised, silver, places), "total_sales")

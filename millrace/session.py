@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,10 +15,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # counts of a run are added up from the reports of all its batches
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(
     app: str, master: str | None = None, settings: dict[str, str] | None = None
@@ -44,15 +43,10 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path not used before, under the folder named by ``spark.checkpoint.dir``.
 
-    Executors on other machines must see the folder, so a machine-local one is used
-    only when the session itself is local and names none.
+    Executors on other machines must see the folder. A session that names none gets one in
+    its warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.conf.get("spark.app.id", "local")
-        root = _local_scratch.get(app)
-        if root is None:
-            root = _local_scratch[app] = tempfile.mkdtemp(prefix="millrace-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"

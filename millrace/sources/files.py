@@ -35,7 +35,7 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """A Parquet folder, or None when nothing was written there yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -63,25 +63,26 @@ def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> D
     )
 
 
-def sample_schema(spark: SparkSession, path: str, max_files: int = 4) -> StructType:
-    """Schema of the oldest few staged Parquet files, for a stream over the folder.
+def staged_schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of all Parquet files under a folder, for a stream over it.
 
-    It costs a few footers however much is staged, and stays the same as files arrive.
+    Spark reads the footers on the executors and merges them, so a column that only the
+    newest file has is part of it.
     """
-    files = file_inventory(spark, path, "*.parquet").orderBy("modificationTime", "path")
-    chosen = [r["path"] for r in files.select("path").limit(max_files).collect()]
-    if not chosen:
-        raise FileNotFoundError(f"no Parquet file under {path}")
-    return spark.read.option("mergeSchema", True).parquet(*chosen).schema
-
-
-def sample_fields(spark: SparkSession, path: str, max_files: int = 4) -> list[str]:
-    """Top-level field names of the oldest few JSON-lines files."""
-    files = file_inventory(spark, path).orderBy("modificationTime", "path")
-    chosen = [r["path"] for r in files.select("path").limit(max_files).collect()]
-    if not chosen:
-        raise FileNotFoundError(f"no file under {path}")
-    fields = spark.read.option("primitivesAsString", True).json(chosen).schema.names
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise FileNotFoundError(f"no Parquet file under {path}") from error
+
+
+def staged_fields(spark: SparkSession, path: str) -> list[str]:
+    """Top-level field names of all JSON-lines files under a folder."""
+    reader = spark.read.option("primitivesAsString", True).option("recursiveFileLookup", True)
+    fields = reader.json(path).schema.names
+    if not fields:
+        raise FileNotFoundError(f"no file with fields under {path}")
     return [f for f in fields if f != "_corrupt_record"]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.sources.files import sample_fields
+from millrace.sources.files import staged_fields
 from millrace.sources.rescue import parse_json_lines
 
 
@@ -22,8 +22,8 @@ def stream_json(
 ) -> DataFrame:
     """JSON-lines files of a folder tree with hints, rescue and provenance columns.
 
-    The field names are taken from a few files already there when none are given; a
-    field that shows up later goes to the rescued column.
+    The field names are taken from the files already there when none are given; a field
+    that shows up later goes to the rescued column.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files:
@@ -35,7 +35,7 @@ def stream_json(
             F.col("_metadata.file_path").alias("file_path"),
             F.current_timestamp().alias("inserted_at"),
         )
-    return parse_json_lines(lines, fields or sample_fields(spark, path), hints)
+    return parse_json_lines(lines, fields or staged_fields(spark, path), hints)
 
 
 def stream_parquet(

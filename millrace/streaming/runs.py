@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.operators.quality import Rule
+
 
 def _parquet_writer(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str]
@@ -50,3 +52,17 @@ def run_continuous(
     writer = _parquet_writer(stream, path, checkpoint, partition_by)
     writer = writer.trigger(processingTime=interval)
     return writer.toTable(table) if table else writer.start()
+
+
+def observed(query: StreamingQuery, name: str, rules: Sequence[Rule]) -> list[tuple]:
+    """Report lines (dataset, rule, action, passed, failed, dropped) of a finished run.
+
+    ``name`` is the observation under which ``expect`` counted; the counts of all batches
+    are added up, so they are those of the run alone.
+    """
+    seen = [p.observedMetrics[name] for p in query.recentProgress if name in p.observedMetrics]
+    lines = []
+    for i, rule in enumerate(rules):
+        passed, failed = (sum(row[f"{side}_{i}"] for row in seen) for side in ("passed", "failed"))
+        lines.append((name, rule.name, rule.on_violation, passed, failed, failed if rule.on_violation == "drop" else 0))
+    return lines

@@ -34,7 +34,7 @@ def append_history(
 
 def read_history(spark: SparkSession, path: str, after_load: int | None = None) -> DataFrame:
     """All changes, or those of the loads after a given one."""
-    history = spark.read.parquet(path)
+    history = spark.read.option("mergeSchema", True).parquet(path)
     if after_load is not None:
         history = history.where(F.col(LOAD) > F.lit(after_load))
     return history.drop(LOAD)
@@ -47,6 +47,6 @@ def fold_scd1(
 
     Costs the size of the state plus the arrivals, never the whole history.
     """
-    rows = arrived if state is None else state.unionByName(arrived)
+    rows = arrived if state is None else state.unionByName(arrived, allowMissingColumns=True)
     return scd1_state(rows, keys, order)
 

@@ -47,68 +47,56 @@ def write_lines(path, rows) -> None:
     path.write_text("\n".join(lines) + "\n")
 
 
-# seq, lsn, command, operation, id, city, balance
+# seq, lsn, command, operation, id, plan, score: plans of members, six joining at once, then
+# two renewals, one leaving and coming back, one leaving for good, one joining late
 CAPTURE = [
-    (1, 1, 1, 2, 1, "Perth", "100.00"),
-    (2, 1, 1, 2, 2, "Sydney", "50.50"),
-    (3, 1, 1, 2, 3, "Darwin", "-29.23"),
-    (4, 1, 1, 2, 4, "Perth", "3022.89"),
-    (5, 1, 2, 2, 5, "Melbourne", "33.33"),
-    (6, 1, 2, 2, 6, "Brisbane", "-1.00"),
-    (7, 1, 2, 2, 7, "Sydney", "0.00"),
-    (8, 1, 2, 2, 8, "Canberra ", "299.99"),
-    (9, 2, 1, 3, 1, "Perth", "100.00"),
-    (9, 2, 1, 4, 1, "Melbourne", "20.00"),
-    (10, 2, 2, 3, 2, "Sydney", "50.50"),
-    (10, 2, 2, 4, 2, "Sydney", "55.50"),
-    (11, 2, 3, 3, 3, "Darwin", "-29.23"),
-    (11, 2, 3, 4, 3, "Darwin", "-89.39"),
-    (12, 2, 4, 3, 1, "Melbourne", "20.00"),
-    (12, 2, 4, 4, 1, "Melbourne", "30.00"),
-    (13, 2, 5, 3, 2, "Sydney", "55.50"),
-    (13, 2, 5, 4, 2, "Sydney", "65.50"),
-    (14, 3, 1, 3, 3, "Darwin", "-89.39"),
-    (14, 3, 1, 4, 3, "Perth", "-99.39"),
-    (15, 4, 1, 1, 2, "Sydney", "65.50"),
-    (16, 4, 1, 1, 7, "Sydney", "0.00"),
-    (17, 4, 2, 2, 9, "Darwin", "1.00"),
-    (18, 4, 2, 2, 10, "Hobart", "8.00"),
+    (1, 1, 1, 2, 11, "basic", "5.00"),
+    (2, 1, 1, 2, 12, "basic", "7.25"),
+    (3, 1, 1, 2, 13, "trial", "0.00"),
+    (4, 1, 1, 2, 14, "team", "120.40"),
+    (5, 1, 3, 2, 21, "trial", "1.10"),
+    (6, 1, 3, 2, 22, " solo", "3.00"),
+    (7, 2, 1, 3, 12, "basic", "7.25"),
+    (7, 2, 1, 4, 12, "team", "8.25"),
+    (8, 2, 2, 3, 11, "basic", "5.00"),
+    (8, 2, 2, 4, 11, "solo", "5.50"),
+    (9, 3, 1, 1, 13, "trial", "0.00"),
+    (10, 3, 4, 3, 12, "team", "8.25"),
+    (10, 3, 4, 4, 12, "team", "9.75"),
+    (11, 4, 1, 2, 13, "basic", "2.20"),
+    (12, 4, 2, 1, 22, " solo", "3.00"),
+    (13, 5, 1, 2, 31, "team", "44.00"),
+    (14, 5, 2, 3, 14, "team", "120.40"),
+    (14, 5, 2, 4, 14, "solo", "99.99"),
 ]
 
 SCD1 = {
-    (1, "Melbourne", "30.00"),
-    (3, "Perth", "-99.39"),
-    (4, "Perth", "3022.89"),
-    (5, "Melbourne", "33.33"),
-    (6, "Brisbane", "-1.00"),
-    (8, "Canberra ", "299.99"),
-    (9, "Darwin", "1.00"),
-    (10, "Hobart", "8.00"),
+    (11, "solo", "5.50"),
+    (12, "team", "9.75"),
+    (13, "basic", "2.20"),
+    (14, "solo", "99.99"),
+    (21, "trial", "1.10"),
+    (31, "team", "44.00"),
 }
 
 SCD2 = {
-    (1, "Perth", "100.00", 1, 9),
-    (1, "Melbourne", "20.00", 9, 12),
-    (1, "Melbourne", "30.00", 12, None),
-    (2, "Sydney", "50.50", 2, 10),
-    (2, "Sydney", "55.50", 10, 13),
-    (2, "Sydney", "65.50", 13, 15),
-    (3, "Darwin", "-29.23", 3, 11),
-    (3, "Darwin", "-89.39", 11, 14),
-    (3, "Perth", "-99.39", 14, None),
-    (4, "Perth", "3022.89", 4, None),
-    (5, "Melbourne", "33.33", 5, None),
-    (6, "Brisbane", "-1.00", 6, None),
-    (7, "Sydney", "0.00", 7, 16),
-    (8, "Canberra ", "299.99", 8, None),
-    (9, "Darwin", "1.00", 17, None),
-    (10, "Hobart", "8.00", 18, None),
+    (11, "basic", "5.00", 1, 8),
+    (11, "solo", "5.50", 8, None),
+    (12, "basic", "7.25", 2, 7),
+    (12, "team", "8.25", 7, 10),
+    (12, "team", "9.75", 10, None),
+    (13, "trial", "0.00", 3, 9),
+    (13, "basic", "2.20", 11, None),
+    (14, "team", "120.40", 4, 14),
+    (14, "solo", "99.99", 14, None),
+    (21, "trial", "1.10", 5, None),
+    (22, " solo", "3.00", 6, 12),
+    (31, "team", "44.00", 13, None),
 }
 
 CAPTURE_SCHEMA = (
     "`__$start_lsn` binary, `__$end_lsn` binary, `__$seqval` binary, `__$operation` int, "
-    "`__$update_mask` binary, `__$command_id` int, "
-    "Id int, FirstName string, LastName string, City string, Balance decimal(18,2)"
+    "`__$update_mask` binary, `__$command_id` int, Id int, Plan string, Score decimal(18,2)"
 )
 
 
@@ -118,15 +106,15 @@ def capture(spark: SparkSession, rows=CAPTURE) -> DataFrame:
 
     return spark.createDataFrame(
         [
-            (ten(lsn), None, ten(seq), op, None, cmd, i, f"F{i}", f"L{i}", city, Decimal(bal))
-            for seq, lsn, cmd, op, i, city, bal in rows
+            (ten(lsn), None, ten(seq), op, None, cmd, i, plan, Decimal(score))
+            for seq, lsn, cmd, op, i, plan, score in rows
         ],
         CAPTURE_SCHEMA,
     )
 
 
 def scd1_set(df: DataFrame) -> set:
-    return {(r["Id"], r["City"], str(r["Balance"])) for r in df.collect()}
+    return {(r["Id"], r["Plan"], str(r["Score"])) for r in df.collect()}
 
 
 def scd2_set(df: DataFrame) -> set:
@@ -134,6 +122,6 @@ def scd2_set(df: DataFrame) -> set:
         return None if bound is None else int.from_bytes(bound["__$seqval"], "big")
 
     return {
-        (r["Id"], r["City"], str(r["Balance"]), seq(r["valid_from"]), seq(r["valid_to"]))
+        (r["Id"], r["Plan"], str(r["Score"]), seq(r["valid_from"]), seq(r["valid_to"]))
         for r in df.collect()
     }

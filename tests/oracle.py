@@ -69,7 +69,7 @@ def main() -> int:
     spark = build_session(
         "oracle",
         "local[8]",
-        {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.driver.host": "localhost"},
+        {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.driver.host": "localhost", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf_dir), 0

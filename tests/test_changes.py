@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import classify, with_row_hash
 from millrace.operators import changes as ch
-from millrace.operators.skew import broadcast_if_small
 
 quick = settings(
     max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -76,16 +75,6 @@ def test_small_merge_source_does_not_shuffle_the_target(spark, tmp_path):
     assert "LeftOuter, BuildRight" in plan and "SortMergeJoin" not in plan
 
 
-def test_a_derived_merge_source_is_broadcast_once_counted(spark, tmp_path):
-    spark.range(100).select("id", F.lit("a").alias("v")).write.parquet(str(tmp_path / "t"))
-    source = spark.range(5).groupBy("id").agg(F.lit("x").alias("v"))
-    target = spark.read.parquet(str(tmp_path / "t"))
-    merged = ch.merge_upsert(target, broadcast_if_small(source), ["id"], hash_col=None)
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan
-    assert merged.where("v = 'x'").count() == 5
-
-
 @quick
 @given(tables, tables)
 def test_merge_twice_is_merge_once(spark, old, new):

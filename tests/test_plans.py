@@ -123,6 +123,9 @@ def test_checked_sales(spark, data):
 
         write_lines(data / "landing" / "SYD01" / "day" / "more.json", [sale("s4")])
         tables = pipeline.update()
+        # each update has the counts of its own rows
+        kept = pipeline.updates().where("name LIKE 'Only%'").collect()
+        assert sorted((r["passed_records"], r["failed_records"]) for r in kept) == [(1, 0), (2, 1)]
         assert tables["silver_sales"].count() == 3
         assert tables["country_sales"].where("country_code = 'AUS'").first()["number_of_sales"] == 3
 
