@@ -73,10 +73,33 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+MIX = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS point
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, ([3.0, 1.0, 2.0])[rank % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS most, sum(source_size) OVER () * 1.5::DOUBLE AS total FROM s),
+f AS (SELECT *, row_number() OVER (ORDER BY most / weight, rank) AS place,
+             coalesce(sum(most) OVER (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE) AS filled,
+             sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM w),
+l AS (SELECT *, (SELECT (total - filled) / open FROM f WHERE (total - filled) / open * weight <= most ORDER BY place LIMIT 1) AS level FROM f),
+t AS (SELECT source, rank, source_size, least(most, coalesce(weight * level, most)) AS target FROM l),
+q AS (SELECT d.*, t.rank, t.source_size, t.target,
+             sum(size) OVER (PARTITION BY d.source ORDER BY point, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT doc_id, point, rank, size, (upto + source_size * n) / target AS finish FROM q, (VALUES (0), (1)) v(n) WHERE size > 0 AND target > 0),
+r AS (SELECT *, sum(size) OVER (ORDER BY finish, rank ROWS UNBOUNDED PRECEDING) AS run FROM e),
+c AS (SELECT doc_id, point, count(*) AS turns FROM r WHERE run <= (SELECT sum(source_size) * 1.5 FROM s) GROUP BY ALL)
+SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * coalesce(c.turns, 0))::BIGINT AS taken
+FROM q LEFT JOIN c ON q.doc_id IS NOT DISTINCT FROM c.doc_id AND q.point = c.point
+"""
+
+
+@query(MIX)
 def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fair_queue(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "turns", "finish")
+    return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query(
@@ -104,7 +127,24 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-@query()
+LINKS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+p AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM p GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM p a JOIN p b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+k AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.size + y.size - shared)),
+g AS (SELECT a, b FROM k UNION SELECT b, a FROM k),
+r(id, other) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.id, g.b FROM r JOIN g ON g.a = r.other),
+m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id)
+SELECT w.doc_id, coalesce(n.size, 0)::BIGINT AS n_shingles, m.component_id, w.doc_id = m.component_id AS kept
+FROM w JOIN m ON m.id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
+"""
+
+
+@query(LINKS)
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
