@@ -37,6 +37,13 @@ SALES_RULES = (
         "drop",
     ),
 )
+COMMENTS = {
+    "products": "Products on sale",
+    "country_sales": "Sales and number of sales per country",
+    "country_monthly_sales": "Sales and number of sales per country and month",
+    "user_profile": "Spend per store and customer",
+}
+QUALITY = {"products": "silver", "country_sales": "gold", "country_monthly_sales": "gold", "user_profile": "gold"}
 ITEM_RULES = (
     Rule(
         "All custom juice must have ingredients",
@@ -89,7 +96,10 @@ class CheckedSales:
             "country_monthly_sales": country_monthly_sales(items, sales, locations),
             "user_profile": customer_spend(items, sales, users),
         }
-        tables = {n: save_table(df, n, f"{self.root}/{n}") for n, df in gold.items()}
+        tables = {
+            n: save_table(df, n, f"{self.root}/{n}", comment=COMMENTS[n], properties={"quality": QUALITY[n]})
+            for n, df in gold.items()
+        }
         return {**tables, "bronze_sales": bronze, "silver_sales": sales, "silver_sale_items": items}
 
     def updates(self) -> DataFrame:

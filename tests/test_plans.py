@@ -113,6 +113,10 @@ def test_checked_sales(spark, data):
             ("NZL", "2022-01", 10.75, 1),
         }
         assert tables["user_profile"].count() == 2
+        props = {tuple(p) for p in spark.sql("SHOW TBLPROPERTIES user_profile").collect()}
+        assert ("quality", "gold") in props
+        about = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED user_profile").collect()}
+        assert about["Comment"] == "Spend per store and customer"
         assert tables["products"].count() == 1
         counts = {r["name"]: (r["passed_records"], r["failed_records"]) for r in pipeline.quality().collect()}
         assert counts == {
