@@ -66,10 +66,12 @@ def country_monthly_sales(
 def customer_spend(items: DataFrame, sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Spend per store and known customer.
 
+    Items are laid out by sale once, for the sum per sale and the join with the sales.
     Spend is summed to (store, customer) before the customer dimension is joined, so a
     customer with a third of the sales reaches that join as a few rows.
     """
-    per_sale = items.groupBy("sale_id", "store_id").agg(F.sum("product_cost").alias("cost"))
+    placed = items.select("sale_id", "store_id", "product_cost").repartition("sale_id")
+    per_sale = placed.groupBy("sale_id", "store_id").agg(F.sum("product_cost").alias("cost"))
     buyers = sales.where(F.col("unique_customer_id").isNotNull()).select(
         F.col("id").alias("sale_id"), "unique_customer_id"
     )
