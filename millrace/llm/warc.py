@@ -38,26 +38,27 @@ def _record(kind: str, name: str, fields: list[tuple[str, str | None]], block: b
     return out.compress(f"WARC/1.1\r\n{text}\r\n".encode() + block + b"\r\n\r\n") + out.flush()
 
 
-def record_id(row: int, kind: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{kind} {row}')}>"
+def record_id(kind: str, *parts) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, ' '.join(map(str, (kind, *parts))))}>"
 
 
-def _capture(row: int, key: str | None, url: str | None, payload: bytes, digest: str, original: int | None, date: str) -> bytes:
-    """The records of one capture; ``original`` is the row whose response it revisits."""
+def _capture(row: int, key: str | None, url: str | None, payload: bytes, digest: str, kind: str, size: int, date: str) -> bytes:
+    """The records of one capture; ``kind`` is first, if others revisit it, again, or only."""
     uri = None if url is None else url.replace("\r", "%0D").replace("\n", "%0A")
-    own = record_id(row, "main")
+    first = record_id("payload", digest)  # so that those who revisit it know its name
+    own = first if kind == "first" else record_id("main", row, key, digest)
     common = [("WARC-Date", date), ("WARC-Target-URI", uri)]
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     main = [*common, ("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "application/http;msgtype=response")]
-    if original is None:
+    if kind != "again":
         out = _record("response", own, main, http + payload)
     else:
-        out = _record("revisit", own, [*main, ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(original, "main"))], http)
+        out = _record("revisit", own, [*main, ("WARC-Profile", PROFILE), ("WARC-Refers-To", first)], http)
     tied = [*common, ("WARC-Concurrent-To", own)]
     request = f"GET {uri or '/'} HTTP/1.1\r\n\r\n".encode()
-    out += _record("request", record_id(row, "request"), [*tied, ("Content-Type", "application/http;msgtype=request")], request)
+    out += _record("request", record_id("request", own), [*tied, ("Content-Type", "application/http;msgtype=request")], request)
     about = "" if key is None else f"key: {key}\r\n"
-    return out + _record("metadata", record_id(row, "metadata"), [*tied, ("Content-Type", "application/warc-fields")], about.encode())
+    return out + _record("metadata", record_id("metadata", own), [*tied, ("Content-Type", "application/warc-fields")], about.encode())
 
 
 def write_archives(
@@ -72,22 +73,21 @@ def write_archives(
 ) -> DataFrame:
     """Writes .warc.gz files of about ``file_bytes`` below ``folder``; one row per file.
 
-    The payloads are stored once with a row number and their digest, so that every later step
-    sees the same numbers. A digest with a third of all rows is split by the join, as the small
-    table of first captures is the side that is copied.
+    Payloads are shuffled once, by digest; a digest with a third of all rows is split by the join,
+    as the small table of first captures is the side that is copied. Rows that share key and
+    payload are told apart by their place in the input, which a scan gives alike each time.
     """
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body.alias("body")
-    )
-    rows = stored(rows.withColumn("digest", F.sha2("body", 256)), "warc-pages")
-    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "row"))["row"]
-    firsts = rows.where(F.octet_length("body") >= min_revisit).groupBy("digest").agg(first.alias("first"), F.count("*").alias("n"))
-    firsts = firsts.where("n > 1").select("digest", "first")
+    ).withColumn("digest", F.sha2("body", 256))
+    alike = rows.where(F.octet_length("body") >= min_revisit).groupBy("digest", "key").agg(F.min("row").alias("row"), F.count("*").alias("n"))
+    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "row", "n")).alias("first")
+    firsts = alike.groupBy("digest").agg(first, F.sum("n").alias("copies")).where("copies > 1").select("digest", "first")
+    is_first = F.col("key").eqNullSafe(F.col("first.key")) & ((F.col("first.n") == 1) | (F.col("row") == F.col("first.row")))
+    kind = F.when(F.col("first").isNull(), "only").when(is_first, "first").otherwise("again")
     plan = rows.join(firsts, "digest", "left").select(
-        "row", F.col("key").cast("string").alias("key"), "url", "digest",
-        F.when(F.col("first") != F.col("row"), F.col("first")).alias("original"),
-        F.when(F.col("first").isNull() | (F.col("first") == F.col("row")), F.col("body")).alias("body"),
+        "row", F.col("key").cast("string").alias("key"), "url", "digest", kind.alias("kind"), F.when(kind != "again", F.col("body")).alias("body"),
         F.octet_length("body").alias("size"),
     )
 
@@ -97,7 +97,7 @@ def write_archives(
             for r in batch.to_pylist():
                 if out is None:
                     (path, out), size, count = open_for_write(folder, ".warc.gz"), 0, 0
-                data = _capture(r["row"], r["key"], r["url"], r["body"] or b"", r["digest"], r["original"], date)
+                data = _capture(r["row"], r["key"], r["url"], r["body"] or b"", r["digest"], r["kind"], r["size"], date)
                 out.write(data)
                 size, count = size + len(data), count + 1
                 if size >= file_bytes:
@@ -108,7 +108,7 @@ def write_archives(
             out.close()
             yield pa.RecordBatch.from_pylist([{"path": path, "captures": count, "bytes": size}])
 
-    return stored(plan.drop("size").mapInArrow(run, "path string, captures long, bytes long"), "warc-files")
+    return stored(plan.mapInArrow(run, "path string, captures long, bytes long"), "warc-files")
 
 
 def _parse(path: str) -> Iterator[dict]:
