@@ -33,8 +33,8 @@ from millrace.llm.arrays import BREAK, LOWER, slices, span_hash, utf8, windows,
 from millrace.llm.shared_files import stored
 
 K1, B = 1.2, 0.75
-THRESHOLD = 0.7
-OVERLAP = 0.6
+THRESHOLD = 0.6
+OVERLAP = 0.5
 GRAM = 3
 BLOCKS = (64, 8, 1)
 INDEX_POSTINGS = 2_000_000  # of one index; more items are searched index by index
