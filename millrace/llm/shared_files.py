@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import scratch_path
 
@@ -34,8 +34,14 @@ def _uri(path: str) -> str:
     return path if "://" in path else f"file://{path}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str = "", path: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again; its lineage ends there."""
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a stored table that nothing reads any more: all made from it is stored itself."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

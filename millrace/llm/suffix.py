@@ -38,7 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.arrays import OTHER, mix, powers, span_hash, utf8, windows
-from millrace.llm.shared_files import stored
+from millrace.llm.shared_files import discard, stored
+from millrace.session import scratch_path
 
 LEAST = 400
 GRAM = 16
@@ -121,16 +122,28 @@ def _sampled(docs: DataFrame, kind: str, least: int, window: int) -> DataFrame:
 
 
 def _ranges(data: np.ndarray, places: np.ndarray, least: int, window: int) -> tuple[np.ndarray, ...]:
-    """anchor, first and last start of the ranges that may repeat: those with a repeated triple
-    at the anchor's phrase or one of the two after it."""
+    """anchor, first and last start of the ranges that may repeat.
+
+    A copy of a string shares all phrases from its anchor to the first cut at or after ``span``
+    bytes. So for one of the two sampled classes, the one that meets sampled suffixes of the
+    copy, every triple among those phrases is a repeated one.
+    """
     anchor = parse(data, window)
     cuts, low = np.unique(anchor, return_index=True)
-    high = np.append(low[1:], len(anchor)) - 1
-    high = np.minimum(high, len(data) - least)
-    index = np.unique(np.concatenate([places, places - 1, places - 2]))
-    index = index[(index >= 0) & (index < len(cuts))]
-    index = index[low[index] <= high[index]]
-    return cuts[index], low[index], high[index]
+    high = np.minimum(np.append(low[1:], len(anchor)) - 1, len(data) - least)
+    span = least - (window + GRAM - 1) - (window - 1)
+    index = np.arange(len(cuts))
+    after = np.searchsorted(cuts, cuts + span) - 2  # beyond the last triple
+    good = np.zeros(len(cuts), bool)
+    for residue in (1, 2):
+        sampled, found = (np.zeros(len(cuts) + 1, np.int64) for _ in range(2))
+        sampled[1:] = np.cumsum(index % 3 == residue)
+        found[1:] = np.cumsum(np.bincount(places[places % 3 == residue], minlength=len(cuts))[: len(cuts)])
+        top = np.clip(after, index, len(cuts))
+        wanted = sampled[top] - sampled[index]
+        good |= (wanted > 0) & (found[top] - found[index] == wanted)
+    good &= low <= high
+    return cuts[good], low[good], high[good]
 
 
 def _names(data: np.ndarray, anchor: np.ndarray, step: np.ndarray, width: int, least: int) -> list[np.ndarray]:
@@ -199,20 +212,25 @@ def repeated_starts(docs: DataFrame, kind: str, least: int = LEAST) -> tuple[Dat
     """(key, h, low, high): ranges of the starts whose ``least`` bytes also start elsewhere; and
     the texts that were looked at. ``docs`` has key, h and text."""
     window = window_for(least)
-    sampled = stored(_sampled(docs, kind, least, window), "suffix-triples")
+    spark = docs.sparkSession
+    triples_path = scratch_path(spark, "suffix-triples")
+    sampled = stored(_sampled(docs, kind, least, window), path=triples_path)
     often = sampled.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     places = sampled.join(often, "name", "left_semi").groupBy("key", "h").agg(F.collect_set("place").alias("places"))
     texts = stored(_with_texts(places, docs, "places"), "suffix-texts")
+    discard(spark, triples_path)
     found, work, width, parts = None, None, window, 1
     while True:
         source = texts if work is None else _with_texts(work, texts.drop("places"), "work")
-        rows = stored(_named(source, kind, width, parts, least, window, work is None), "suffix-ranges")
+        ranges_path = scratch_path(spark, "suffix-ranges")
+        rows = stored(_named(source, kind, width, parts, least, window, work is None), path=ranges_path)
         hulls = rows.where("whole").groupBy("step", "h1", "h2").agg(F.count("*").alias("hulls")).where("hulls > 1")
         cores = rows.groupBy("step", "c1", "c2").agg(F.count("*").alias("cores")).where("cores > 1")
         rows = rows.join(cores, ["step", "c1", "c2"])
         rows = rows.join(hulls, ["step", "h1", "h2"], "left")
         rows = rows.withColumn("settled", F.col("known") | (F.col("whole") & F.col("hulls").isNotNull()))
         rows = stored(rows, "suffix-settled")
+        discard(spark, ranges_path)
         low, high = F.greatest("low", F.col("anchor") - F.col("step") - width + 1), F.least("high", F.col("anchor") - F.col("step"))
         fresh = rows.where("settled AND NOT known").select("key", "h", low.alias("low"), high.alias("high"))
         found = fresh if found is None else found.union(fresh)
