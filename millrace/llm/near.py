@@ -2,7 +2,9 @@
 
 A document is the set of its distinct word shingles. Each shingle's hash falls into one of
 ``REGISTERS`` buckets, and a bucket keeps of its smallest hash the count of leading zeros and the
-``MANTISSA`` bits after them: 16 bits in all. Documents with equal sets form a class. Classes
+``MANTISSA`` bits after them: 16 bits in all. Documents with equal sets form a class. For
+the bands, an empty bucket takes the register of another one, chosen by a fixed sequence of its
+own, so that registers of small sets agree as often as those of large ones. Classes
 whose registers agree in one band of ``BAND`` registers are compared: first by the Jaccard
 similarity that the registers show, less the agreement expected by chance, with a margin of six
 standard deviations; then, for those that pass, on the full sets. Links join classes into
@@ -90,6 +92,21 @@ def registers(shingle: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return out.astype(np.uint16).reshape(n, REGISTERS)
 
 
+def filled(values: np.ndarray) -> np.ndarray:
+    """Rows of registers with each empty one replaced: bucket by bucket of a fixed random sequence
+    is looked at until one is in use. Rows without any register in use stay empty."""
+    out = values.copy()
+    row, bucket = np.nonzero((values == 0) & values.any(axis=1)[:, None])
+    attempt = 0
+    while len(row):
+        attempt += 1
+        other = mix(np.uint64(attempt) * np.uint64(REGISTERS) + np.arange(REGISTERS, dtype=np.uint64)) % np.uint64(REGISTERS)
+        found = values[row, other[bucket].astype(np.int64)]
+        out[row, bucket] = found
+        row, bucket = row[found == 0], bucket[found == 0]
+    return out
+
+
 def chance_agreement() -> float:
     """The probability that the registers of two different random hashes agree."""
     zeros = np.arange(1, _VALUE_BITS)
@@ -131,18 +148,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, cid): a row for each band of a class in which some register is in use."""
+    """(band, cid): a row for each band of a class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cid, values = batch.column(0), _matrix(batch.column(1)).astype(np.uint64)
+            cid, values = batch.column(0), filled(_matrix(batch.column(1))).astype(np.uint64)
             for k in range(0, REGISTERS, BAND):
                 part = values[:, k : k + BAND]
                 key = np.full(len(part), k + 1, np.uint64)
                 for c in range(BAND):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, c])
-                used = pa.array(part.any(axis=1))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)).filter(used), cid.filter(used)], ["band", "cid"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), cid], ["band", "cid"])
 
     return classes.select("cid", "registers").mapInArrow(run, "band long, cid binary")
 
@@ -197,9 +213,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "ma", "mb").mapInArrow(run, "a binary, b binary")
 
 
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, label) after new ``links`` (a, b): only the labels they join are worked on."""
+    if labels is None:
+        return components(links)
+    ends = links
+    for side in ("a", "b"):
+        own = labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+        ends = ends.join(own, side, "left").withColumn(f"{side}_label", F.coalesce(f"{side}_label", side))
+    joined = components(ends.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
+    renamed = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    old = labels.join(renamed, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    return stored(old.unionByName(joined.join(labels, "node", "left_anti")), "near-labels")
+
+
 def _links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, label) of all classes that are linked with others, or None."""
-    edges, labels, cursor, centres = None, None, None, 1
+    labels, cursor, centres, first = None, None, 1, True
     while True:
         rows = members
         if labels is None:
@@ -219,15 +249,16 @@ def _links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
         if heads.isEmpty():
             return labels
         pairs = rows.join(heads, "band").where((F.col("cid") > F.col("a")) & (F.col("label") != F.col("own")))
-        if labels is None:  # first each class against one centre; most of a family needs no more
+        if first:  # each class against one centre alone; most of a family needs no more
             pairs = pairs.groupBy(F.col("cid").alias("b")).agg(F.min("a").alias("a")).select("a", "b")
+            first = False
         else:
             pairs = pairs.select("a", F.col("cid").alias("b")).distinct()
             cursor = heads.groupBy("band").agg(F.max("a").alias("done"), F.count("*").alias("n")).where(F.col("n") == centres).drop("n")
-            centres *= 2
+            centres *= 4
         found = stored(_linked(stored(_alike(pairs, classes, percent), "near-pairs"), sets, percent), "near-links")
-        edges = found if edges is None else edges.union(found)
-        labels = components(edges)
+        if not found.isEmpty():
+            labels = _merged(labels, found)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
