@@ -1,12 +1,13 @@
 """A corpus from raw documents: stages over whole tables, each written and read again by the next.
 
 quality: failing lines go, and documents that the rules reject. near_duplicates: of each group
-of near copies the document of the smallest doc_id stays. decontaminate: documents that hold a
+of near copies the document of the smallest doc_id stays (nulls last, then by the text's digest). decontaminate: documents that hold a
 benchmark item go. mix: every document is repeated as often as the mix takes it, or goes if it
 does not. shard: every row gets its shard and its slot in it.
 
 Defined results: null and empty texts fall to the quality rules; rows that are equal in doc_id and
-text are near copies of which one stays; rows with a null doc_id are documents like others; extra
+text are near copies of which one stays; rows with a null or repeated doc_id are documents like
+others, as decisions are applied by doc_id and digest of the text; extra
 columns pass through, but for those named like the last stage's own (size, shard, slot,
 text_crc32), which its own replace. No rows give no rows.
 
@@ -16,7 +17,7 @@ ORACLE_SQL is None: line cleaning, near-duplicate components and BM25 retrieval
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,21 +45,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*[fresh.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def _row_key() -> Column:
+    """What tells rows apart: doc_id alone may be null or repeated. Null ids come last in order."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+def _decided(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """``docs`` semi or anti joined with the keys (id, digest) of ``rows``."""
+    digest = F.md5(F.col("text").cast("binary"))
+    return docs.join(rows, F.col("doc_id").eqNullSafe(F.col("__id")) & digest.eqNullSafe(F.col("__digest")), how)
+
+
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     _bounded(spark)
-    keep = near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("keep")).agg(F.count("*").alias("copies"))
+    keep = near_duplicates(docs.select(_row_key().alias("row"), "text"), key="row").where("kept")
+    keep = keep.groupBy(F.col("row.id").alias("__id"), F.col("row.digest").alias("__digest")).agg(F.count("*").alias("__copies"))
     keep = stored(keep, "pipeline-kept")
-    out = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi")
-    return out if keep.where("copies > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    out = _decided(docs, keep, "left_semi")
+    return out if keep.where("__copies > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     _bounded(spark)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("leak")), "left_anti")
+    leaks = find_leaks(docs.select(_row_key().alias("row"), "text"), benchmark, key="row")
+    leaks = leaks.select(F.col("row.id").alias("__id"), F.col("row.digest").alias("__digest")).distinct()
+    return _decided(docs, leaks, "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,3 +108,20 @@ def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
         assert all(b.columns == rows.columns for _, _, b in done[:-1])
         texts = [r["text"] for r in done[1][2].collect()]
         assert len(texts) == len(set(texts)) == (3 if k < 2 else 0)
+
+
+def test_pipeline_tells_rows_of_one_doc_id_apart(spark, tmp_path):
+    """Null and repeated ids: one leak takes no other row with it, and one near copy of a group stays."""
+    text = lambda c: " ".join(f"{c}{i * i % 89}x{i}" for i in range(90))
+    item = "Which river runs past the old mill of Marvento? The quiet Ostrel, since the flood of the year 1804."
+    spark.createDataFrame([(9, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near_a, near_b = (text("a").replace(w, "changed") for w in ("a0x0 ", "a1x1 "))
+    clean, leak, other, twice = text("b"), f"{text('c')} {item} {text('d')}", text("e"), text("f")
+    rows = [(None, text("a")), (None, near_a), (None, near_b), (None, clean), (None, leak), (7, other), (7, f"{text('g')} {item}"), (7, twice), (8, twice), (None, twice)]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in rows], "doc_id long, text string, source string").repartition(3)
+    kept = corpus_pipeline.near(spark, docs, str(tmp_path))
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sum(t in (text("a"), near_a, near_b) for _, t in got) == 1
+    assert {x for x in got if x[1] in (clean, leak, other, twice)} == {(None, clean), (None, leak), (7, other), (7, twice)} and len(got) == 6
+    left = {(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminate(spark, kept, str(tmp_path)).collect()}
+    assert left == {(k, t) for k, t in got if item not in t} and len(left) == 4
