@@ -1,8 +1,10 @@
 """Line-first cleaning of texts.
 
 Every line of a text is judged by itself: it fails as navigation (mostly separators, or a run
-of them), as boilerplate (a known phrase, or a copy of an earlier line of the same text), or
-for its punctuation (shouting, or symbols in place of words). Failing lines are removed. Then a
+of them), as boilerplate (known phrases make up a share of its words, or it is a copy of an
+earlier line of the same text), or for its punctuation (shouting, which takes more than one mark,
+or symbols in place of words). A phrase stands between other characters than ASCII letters and
+digits, in one line of one text. Failing lines are removed. Then a
 text goes if it lost too much, counted in code points of words, or if it breaks one of the base
 rules, which are taken on the whole text as it came.
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.arrays import SPACE, lines, mix, per_doc, slices, span_hash, utf8, windows, words
+from millrace.llm.arrays import LOWER, SPACE, Spans, lines, mix, per_doc, slices, span_hash, utf8, windows, words
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -31,6 +33,8 @@ MAX_LOST_PERCENT = 50
 NAVIGATION_PERCENT = 25
 SYMBOL_PERCENT = 10
 SHOUT_PERCENT = 30
+SHOUT_MARKS = 2
+BOILERPLATE_PERCENT = 30
 BOILERPLATE = (
     "javascript is disabled",
     "enable javascript",
@@ -54,6 +58,8 @@ SEPARATORS = np.zeros(256, bool)
 SEPARATORS[list(b"|>")] = True
 MARKS = np.zeros(256, bool)
 MARKS[list(b"!?")] = True
+ALNUM = np.zeros(256, bool)
+ALNUM[[b for b in range(128) if chr(b).isalnum()]] = True
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_removed_lines", "lost_chars"]
 
@@ -80,6 +86,28 @@ def _sums(flags: np.ndarray) -> np.ndarray:
     return out
 
 
+def _phrased(data: np.ndarray, word: Spans, start: np.ndarray, end: np.ndarray, phrases: tuple[str, ...]) -> np.ndarray:
+    """Which words are of a phrase; lines are from ``start`` to ``end``."""
+    edge = np.zeros(len(word.start) + 1, np.int64)
+    lower = LOWER[data].tobytes()
+    for phrase in phrases:
+        own, places = phrase.encode(), []
+        at = lower.find(own)
+        while at >= 0:
+            places.append(at)
+            at = lower.find(own, at + 1)
+        a = np.array(places, np.int64)
+        b = a + len(own)
+        k = np.searchsorted(start, a, "right") - 1
+        inside = (k >= 0) & (b <= end[k]) if len(end) else np.zeros(len(a), bool)
+        a, b, k = a[inside], b[inside], k[inside]
+        whole = (a == start[k]) | ~ALNUM[data[a - 1]]
+        whole &= (b == end[k]) | ~ALNUM[data[np.minimum(b, len(data) - 1)]]
+        np.add.at(edge, np.searchsorted(word.end, a[whole], "right"), 1)
+        np.add.at(edge, np.searchsorted(word.start, b[whole]), -1)
+    return np.cumsum(edge)[:-1] > 0
+
+
 def _measure(column: pa.Array, rules: dict) -> tuple[np.ndarray, list[str]]:
     """The measures of every text of a slice, one column each, and the clean texts."""
     data, offsets = utf8(column)
@@ -113,16 +141,11 @@ def _measure(column: pa.Array, rules: dict) -> tuple[np.ndarray, list[str]]:
     symbols = _inside(_sums(SYMBOLS[data] & ~SEPARATORS[data]), start, end)
     fails = later.copy()
     fails |= 100 * lone > rules["navigation"] * count
-    fails |= 100 * marks > rules["shout"] * count
+    fails |= (marks >= SHOUT_MARKS) & (100 * marks > rules["shout"] * count)
     fails |= 100 * symbols > rules["symbols"] * chars
-    lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8).tobytes()
-    for phrase in rules["boilerplate"]:
-        at = lower.find(phrase.encode())
-        while at >= 0:
-            k = int(np.searchsorted(start, at, "right")) - 1
-            if k >= 0 and at < end[k]:
-                fails[k] = True
-            at = lower.find(phrase.encode(), at + 1)
+    said = _sums(_phrased(data, word, start, end, rules["boilerplate"]))
+    said = _inside(said, np.searchsorted(word.start, start), np.searchsorted(word.start, end))
+    fails |= (said > 0) & (100 * said >= rules["share"] * count)
     out[5] = np.bincount(doc, minlength=n)
     out[6] = np.bincount(doc[fails], minlength=n)
     out[7] = np.bincount(doc[fails], chars[fails], minlength=n)
@@ -154,6 +177,7 @@ def clean_lines(
     symbol_percent: int = SYMBOL_PERCENT,
     shout_percent: int = SHOUT_PERCENT,
     boilerplate: tuple[str, ...] = BOILERPLATE,
+    boilerplate_percent: int = BOILERPLATE_PERCENT,
 ) -> DataFrame:
     """All columns of ``docs`` as one struct ``row``, with the clean text and the verdict.
 
@@ -162,7 +186,7 @@ def clean_lines(
     the operator's columns apart from columns of the same names. One pass, no shuffle; ``row``
     is not sent to Python beyond what the caller selected into ``docs``.
     """
-    rules = {"navigation": navigation_percent, "symbols": symbol_percent, "shout": shout_percent, "boilerplate": boilerplate}
+    rules = {"navigation": navigation_percent, "symbols": symbol_percent, "shout": shout_percent, "boilerplate": boilerplate, "share": boilerplate_percent}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

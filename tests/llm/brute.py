@@ -30,6 +30,30 @@ def quality(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), copies, len(covered), failed
 
 
+def verdict(text: str, phrases: tuple[str, ...]) -> tuple[str, int, bool]:
+    """The clean text, the number of lines removed, and kept."""
+    every, seen, clean, lost, removed = text.split("\n"), set(), "", 0, 0
+    for k, line in enumerate(every):
+        spans = [m.span() for m in WORD.finditer(line)]
+        n, chars, said = len(spans), sum(b - a for a, b in spans), set()
+        for p in phrases:
+            for m in re.finditer(f"(?<![a-z0-9])(?={re.escape(p)}(?![a-z0-9]))", lower(line)):
+                said |= {i for i, (a, b) in enumerate(spans) if a < m.start() + len(p) and b > m.start()}
+        marks = len(re.findall("[!?]", line))
+        fails = n and (
+            line in seen
+            or 100 * len(re.findall("[|>]", line)) > 25 * n
+            or (marks > 1 and 100 * marks > 30 * n)
+            or 100 * len(re.findall("[#*$%&<]", line)) > 10 * chars
+            or (said and 100 * len(said) >= 30 * n)
+        )
+        seen |= {line} if n else set()
+        lost, removed = (lost + chars, removed + 1) if fails else (lost, removed)
+        clean += "" if fails else line + "\n" * (k < len(every) - 1)
+    measures = quality(text)
+    return clean, removed, not measures[-1] and 100 * lost <= 50 * measures[1]
+
+
 def shingles(text: str | None, size: int) -> set:
     words = WORD.findall(lower(text or ""))
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()

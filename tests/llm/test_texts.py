@@ -1,5 +1,6 @@
 """Quality, token counts, token files and the array helpers."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from millrace.llm import arrays
-from millrace.llm.quality import clean_lines
+from millrace.llm.quality import BOILERPLATE, clean_lines
 from millrace.llm.shared_files import open_for_read
 from millrace.llm.token_counts import PairMerger, count_tokens
 from millrace.llm.token_files import WordEncoder, read_documents, sequence_round_trip, write_sequences
@@ -67,6 +68,21 @@ def test_quality_removes_failing_lines(spark):
     assert not bad["kept"]
 
 
+def test_quality_verdict_of_long_lines_questions_and_neighbours(spark):
+    prose = " ".join(f"w{k * k % 97}x{k}" for k in range(300))
+    said = [f"{prose} {p.title()} {prose.replace('w', 'v')}" for p in BOILERPLATE]
+    talk = f"What is it?\nWho?\nIt is this!\n{prose}"
+    short = f"Spread more of it.\nRead more\n\u201cClick here\u201d now\nNO!! NO!!\nPrivacy Policy | Terms of use\n{prose}"
+    values = [*said, talk, f"{prose} click ", f"here {prose}", short, "We use cookies. " + "Read more. " * 40, f"{prose}\nread more", " ".join(BOILERPLATE)]
+    rng, parts = random.Random(1), [*BOILERPLATE, "a", "bread", "more?", "!", "|", "##", "x1", "\n", "\n", "é", prose]
+    values += ["".join(rng.choice(parts) + rng.choice([" ", "", "\n"]) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").coalesce(1)
+    got = {r["row"]["doc_id"]: (r["clean_text"], r["n_removed_lines"], r["kept"]) for r in clean_lines(rows).collect()}
+    assert got == {k: brute.verdict(v, BOILERPLATE) for k, v in enumerate(values)}
+    assert all(got[k] == (values[k], 0, True) for k in range(len(said) + 3))
+    assert got[len(said) + 3] == (f"Spread more of it.\n{prose}", 4, True) and not got[len(said) + 4][2]
+
+
 @pytest.mark.parametrize("table", ["docs", "odd", "none"])
 def test_token_counts(table, request):
     rows = request.getfixturevalue(table)
