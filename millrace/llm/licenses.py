@@ -1,18 +1,25 @@
 """Licence statements in texts, by a trained paragraph classifier.
 
-A paragraph is a line with a word. A multinomial logistic regression over hashed word unigrams and
-bigrams tells licence families and an unknown class apart. It is fitted on the statements below
-with small variations, and on a bounded, hash-chosen sample of the corpus's own paragraphs as the
-unknown class; every fourth row is held out to calibrate the probabilities with a temperature. A
-predicted family is confirmed by comparison: the paragraph must hold ``CONFIRM`` of the word
-bigrams of one of the family's statements. As that takes at least one of a statement's anchor
-words, paragraphs without any anchor need not be classified, and no paragraph is lost by it.
+A paragraph is a run of lines between blank lines, or lines of comment marks alone; its words run
+on over the ends of lines, so hard-wrapped notices are whole. A multinomial logistic regression
+over hashed word unigrams and bigrams tells licence families and an unknown class apart. It is
+fitted on the statements and names below with small variations and among other words, and on a
+bounded, hash-chosen sample of the corpus's own lines as the unknown class; every fourth row is
+held out to calibrate the probabilities with a temperature.
+
+A paragraph is judged by overlapping windows of words, of several sizes. A family's window is the
+shortest one that holds most of the word bigrams of one of its statements, if that is ``CONFIRM``
+of them; a window goes if one that overlaps it holds more of another family. The family stands if
+the model predicts it for the window, from the first to the last of the family's bigrams. A line that is no more than a licence's name stands by
+itself. As a statement takes at least one of its anchor words, and every name has one, paragraphs
+without any anchor need not be classified, and no paragraph is lost by it.
 
 Everything is DataFrame functions and Spark's own estimator, on the executors and in the JVM.
 
-Defined results: one row for every paragraph that has an anchor word, with family ``unknown`` if
-none is predicted or confirmed. Null and empty texts have no rows; repeated rows are scanned each
-for itself; no rows give no rows. Other columns are not read.
+Defined results: for every paragraph that has an anchor word, one row for each family found in it,
+or one with family ``unknown`` if there is none; a family that the model does not confirm is a row
+with family ``unknown``. Null and empty texts have no rows; repeated rows are scanned each for
+itself; no rows give no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -88,6 +95,20 @@ STATEMENTS = {
         "To the extent possible under law, the author has dedicated all copyright to this work to the public domain under CC0.",
     ),
 }
+# Lines of nothing else.
+NAMES = {
+    "Apache": ("Apache License", "Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "License: Apache-2.0", "License: Apache 2.0"),
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "License: MIT", "License: MIT License"),
+    "GPL": ("GNU General Public License", "GNU General Public License, version 3", "License: GPL", "License: GPLv3", "License: GPL-3.0", "License: GPL-3.0-or-later"),
+    "LGPL": ("GNU Lesser General Public License", "GNU Lesser General Public License, version 2.1", "License: LGPL", "License: LGPL-2.1", "License: LGPLv3"),
+    "BSD": ("BSD License", "BSD 3-Clause License", "The BSD 3-Clause License", "License: BSD", "License: BSD-3-Clause"),
+    "MPL": ("Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0", "License: MPL-2.0"),
+    "CC-BY": ("License: CC BY 4.0", "Creative Commons Attribution 4.0 International License"),
+    "CC-BY-SA": ("License: CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "CC-BY-NC": ("License: CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "CC0": ("License: CC0", "License: CC0 1.0", "License: CC0-1.0"),
+}
+WINDOWS = (6, 12, 24, 48)  # words; each starts half a window after the last, and the longest statement has 22
 LOOKALIKES = (
     "All rights reserved.",
     "You need a driving licence to work here.",
@@ -131,14 +152,15 @@ def bigrams(words: Column) -> Column:
 
 
 def _features(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("words", word_list(F.col("paragraph"))).withColumn("pairs", bigrams(F.col("words")))
-    rows = rows.withColumn("grams", F.concat("words", "pairs"))
+    if "words" not in rows.columns:
+        rows = rows.withColumn("words", word_list(F.col("paragraph")))
+    rows = rows.withColumn("grams", F.concat("words", bigrams(F.col("words"))))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(rows)
 
 
 def _examples(spark: SparkSession, paragraphs: DataFrame, sample: int) -> DataFrame:
     """paragraph, family: statements as they are, cut at either end and with words around them."""
-    known = spark.createDataFrame([(s, f) for f, all_ in STATEMENTS.items() for s in all_], "paragraph string, family string")
+    known = spark.createDataFrame([(s, f) for t in (STATEMENTS, NAMES) for f, all_ in t.items() for s in all_], "paragraph string, family string")
     known = known.unionByName(spark.createDataFrame([(s, UNKNOWN) for s in LOOKALIKES], known.schema))
     word = F.split("paragraph", " ")
     shapes = [
@@ -146,6 +168,7 @@ def _examples(spark: SparkSession, paragraphs: DataFrame, sample: int) -> DataFr
         F.array_join(F.slice(word, 2, F.size(word)), " "),
         F.array_join(F.slice(word, 1, F.greatest(F.size(word) - 1, F.lit(1))), " "),
         F.concat(F.lit("Notice: "), "paragraph", F.lit(" See the file.")),
+        F.concat(F.lit("Copyright (c) 2020 The authors and others. "), "paragraph", F.lit(" and to do so, subject to the following, without any warranty of any kind")),
     ]
     known = known.select(F.explode(F.array(*shapes)).alias("paragraph"), "family")
     # the paragraphs of the smallest hashes: first the hashes alone, then the few texts
@@ -159,9 +182,86 @@ def _anchored(text: Column) -> Column:
     return text.rlike(f"(?i)(?<![a-z0-9])(?:{'|'.join(re.escape(w).replace('\\#', '[0-9]+') for w in anchors())})(?![a-z0-9])")
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    return docs.select(F.explode(F.split("text", "\n")).alias("paragraph")).where(F.col("paragraph").rlike(r"[^\x20\x09-\x0D]"))
+
+
 def _paragraphs(docs: DataFrame) -> DataFrame:
-    lines = docs.select("key", F.posexplode(F.split("text", "\n")).alias("place", "paragraph"))
-    return lines.where(F.col("paragraph").rlike(r"[^\x20\x09-\x0D]"))
+    blank = r"\n[\x20\x09\x0B-\x0D#*/;%>-]*+(?=\n)"
+    runs = docs.select("key", F.posexplode(F.split("text", blank)).alias("place", "paragraph"))
+    return runs.withColumn("paragraph", F.regexp_replace("paragraph", "^\n", "")).where(F.col("paragraph").rlike(r"[^\x20\x09-\x0D]"))
+
+
+def _held(pairs: Column) -> Column:
+    """For each family the share of the best statement's bigrams that ``pairs`` holds."""
+    best = []
+    for every in STATEMENTS.values():
+        known = F.array(*[F.array(*map(F.lit, _pairs(_words(s)))) for s in every])
+        best.append(F.array_max(F.transform(known, lambda s: F.size(F.array_intersect(s, pairs)) / F.size(s))))
+    return F.array(*best)
+
+
+def _trimmed(words: Column, family: str) -> Column:
+    """From the first to the last of the family's bigrams: what the model judges."""
+    own = F.array(*map(F.lit, sorted({p for s in STATEMENTS[family] for p in _pairs(_words(s))})))
+    n = F.size(words)
+    at = F.filter(
+        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+        lambda i: F.array_contains(own, F.concat_ws(" ", F.get(words, i - 1), F.get(words, i))),
+    )
+    return F.slice(words, F.array_min(at), F.array_max(at) - F.array_min(at) + 2)
+
+
+def _units(found: DataFrame, confirm: float) -> DataFrame:
+    """A row for each family found in a paragraph by comparison, or one with claim null: claim,
+    similarity and words, those of its window or name, or of the whole paragraph."""
+    families = F.array(*map(F.lit, STATEMENTS))
+    every = F.array(*map(F.lit, sorted({p for all_ in STATEMENTS.values() for s in all_ for p in _pairs(_words(s))})))
+    found = found.withColumn("line_words", F.transform(F.split("paragraph", "\n"), word_list)).withColumn("words", F.flatten("line_words"))
+    found = found.withColumn("whole", _held(F.array_intersect(bigrams(F.col("words")), every)))
+
+    # a window holds no more of a statement than the paragraph does
+    n = F.size("words")
+    window = lambda size: F.transform(
+        F.sequence(F.lit(1), F.greatest(n - size // 2, F.lit(1)), F.lit(size // 2)),
+        lambda at: F.struct(at.alias("at"), F.slice(F.col("words"), at, size).alias("words")),
+    )
+    windows = F.transform(
+        F.concat(*[window(size) for size in WINDOWS]),
+        lambda w: F.struct(w["at"].alias("at"), w["words"].alias("words"), _held(bigrams(w["words"])).alias("held")),
+    )
+    found = found.withColumn("windows", F.when(F.array_max("whole") >= confirm, windows))
+    found = found.withColumn("windows", F.filter("windows", lambda w: F.array_max(w["held"]) >= confirm))
+    top = lambda k: F.array_max(
+        F.transform(
+            F.filter("windows", lambda w: w["held"][k] >= confirm),
+            lambda w: F.struct(w["held"][k].alias("similarity"), (-F.size(w["words"])).alias("less"), w["at"].alias("at"), w["words"].alias("words")),
+        )
+    )
+    def claim(k: int, family: str) -> Column:
+        return F.transform(
+            F.array(top(k)),
+            lambda c: F.struct(F.lit(family).alias("claim"), c["similarity"].alias("similarity"), c["less"].alias("less"), c["at"].alias("at"), _trimmed(c["words"], family).alias("words")),
+        )[0]
+
+    found = found.withColumn("claims", F.array(*[claim(k, f) for k, f in enumerate(STATEMENTS)]))
+    found = found.withColumn("claims", F.filter("claims", lambda c: c["similarity"].isNotNull()))
+    over = lambda c, w: (w["at"] < c["at"] - c["less"]) & (c["at"] < w["at"] + F.size(w["words"]))
+    more = lambda c, w: F.exists(F.arrays_zip(families.alias("family"), w["held"].alias("held")), lambda h: (h["family"] != c["claim"]) & (h["held"] > c["similarity"]))
+    claims = F.filter("claims", lambda c: ~F.exists("windows", lambda w: over(c, w) & more(c, w)))
+    said = F.transform("line_words", lambda w: F.concat_ws(" ", w))
+    names = []
+    for family, all_ in NAMES.items():
+        own = F.array(*map(F.lit, sorted({" ".join(_words(s)) for s in all_})))
+        at = F.array_min(F.array_intersect(said, own))
+        names.append(F.when(at.isNotNull(), F.struct(F.lit(family).alias("claim"), F.lit(1.0).alias("similarity"), F.split(at, " ").alias("words"), F.lit(True).alias("name"))))
+    named = F.filter(F.array(*names), lambda c: c.isNotNull())
+    claims = F.transform(F.coalesce(claims, F.array()), lambda c: F.struct(c["claim"].alias("claim"), c["similarity"].alias("similarity"), c["words"].alias("words"), F.lit(False).alias("name")))
+    claims = F.concat(F.filter(claims, lambda c: ~F.exists("named", lambda x: x["claim"] == c["claim"])), "named")
+    none = F.struct(F.lit(None).cast("string").alias("claim"), F.array_max("whole").alias("similarity"), F.col("words").alias("words"), F.lit(False).alias("name"))
+    found = found.withColumn("named", named).withColumn("found", claims)
+    found = found.withColumn("found", F.when(F.size("found") > 0, F.col("found")).otherwise(F.array(none)))
+    return found.select("key", "place", "paragraph", F.explode("found").alias("found")).select("key", "place", "paragraph", "found.*")
 
 
 def _chances(raw: Column, temperature: float) -> Column:
@@ -198,20 +298,18 @@ class Classifier:
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, confirm: float = CONFIRM, least: float = LEAST) -> DataFrame:
     """``key``, paragraph_no, paragraph, family, predicted, probability and similarity (the share of
-    the best statement's bigrams that the paragraph holds) of each paragraph with an anchor word."""
+    the best statement's bigrams that the window holds) of each paragraph with an anchor word, a
+    row for each family found in it."""
     if confirm < CONFIRM:
         raise ValueError(f"anchor words hold for a confirmation of {CONFIRM} or more")
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    model = Classifier(spark, _paragraphs(rows), sample)
+    model = Classifier(spark, _lines(rows), sample)
     found = _paragraphs(rows.where(_anchored(F.col("text")))).where(_anchored(F.col("paragraph")))
-    found = model.scores(_features(found)).withColumn("chances", _chances(F.col("raw"), model.temperature))
+    found = model.scores(_features(_units(found, confirm))).withColumn("chances", _chances(F.col("raw"), model.temperature))
     names = F.array(*map(F.lit, model.families))
     found = found.withColumn("probability", F.array_max("chances"))
     found = found.withColumn("predicted", F.element_at(names, F.array_position("chances", F.col("probability")).cast("int")))
-    known = [F.when(F.col("predicted") == f, F.array(*[F.array(*map(F.lit, _pairs(_words(s)))) for s in all_])) for f, all_ in STATEMENTS.items()]
-    near = F.transform(F.coalesce(*known), lambda s: F.size(F.array_intersect(s, F.col("pairs"))) / F.size(s))
-    found = found.withColumn("similarity", F.coalesce(F.array_max(near), F.lit(0.0)))
-    sure = (F.col("probability") >= least) & (F.col("similarity") >= confirm)
-    family = F.when(sure, F.col("predicted")).otherwise(UNKNOWN)
+    sure = F.col("name") | ((F.col("probability") >= least) & (F.col("predicted") == F.col("claim")))
+    family = F.when(sure, F.col("claim")).otherwise(UNKNOWN)
     return found.select(F.col("key").alias(key), F.col("place").alias("paragraph_no"), "paragraph", family.alias("family"), "predicted", "probability", "similarity")

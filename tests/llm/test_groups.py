@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 from collections import Counter
 
 import brute
@@ -114,6 +115,37 @@ def test_license_scan(spark, docs, odd, none):
     assert scan_licenses(odd).where(f"family <> '{UNKNOWN}'").isEmpty() and scan_licenses(none).isEmpty()
 
 
+MIT_NOTICE = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions: The above copyright notice shall be included in all copies."""
+BSD_NOTICE = """Copyright (c) 2020, The Authors. Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice."""
+LGPL_NOTICE = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."""
+
+
+def test_license_scan_of_wrapped_notices_and_names(spark):
+    notices = [(MIT_NOTICE, "MIT"), (BSD_NOTICE, "BSD"), (LGPL_NOTICE, "LGPL"), *((s, f) for f, all_ in STATEMENTS.items() for s in all_)]
+    want, texts = Counter(), []
+    for text, family in notices:
+        for mark, width in (("", 72), (" * ", 38), ("# ", 60)):
+            own = "\n".join(mark + line for line in textwrap.wrap(text, width))
+            want[len(texts), family] += 1
+            texts.append(f"{mark}some words before\n{mark.rstrip()}\n{own}\n{mark.rstrip()}\n{mark}and after it all")
+    for name, family in (("MIT License", "MIT"), ("License: MIT", "MIT"), ("# License: BSD-3-Clause", "BSD")):
+        want[len(texts), family] += 1
+        texts.append(f"Some project\n{name}\nby its authors")
+    long = " ".join(f"w{k * k % 97}x{k}" for k in range(400))
+    want[len(texts), "MIT"] += 1
+    want[len(texts), "Apache"] += 1
+    texts.append(f"{long} {STATEMENTS['MIT'][3]} {long} {STATEMENTS['Apache'][2]} {long}")
+    texts += ["We read the MIT License and the general public did not.", f"{long} software {long}"]
+    out = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = Counter((r["doc_id"], r["family"]) for r in out if r["family"] != UNKNOWN)
+    assert got == want, [(texts[k], f) for k, f in (got - want) + (want - got)]
+
+
 def pages(spark):
     tricky = "<p>" + "x" * 120 + "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n</p>"
     rows = [
