@@ -10,8 +10,9 @@ the block is skipped. What is left is scored exactly, and all items at or above
 threshold are retrieved: there is no top k. Each is verified by the share of the word triples of
 its question, and of its answer, that the passage has.
 
-An item's answer is what follows its last question mark, or without one the last third of its
-words.
+An item's answer is what follows its last question mark. An item without one, or with nothing
+before or after it, is verified whole, and both shares are that of its word triples. Parts of five
+to seven words are taken by pairs, so that one changed word leaves half of them.
 
 Defined results: null or empty texts and items match nothing; repeated items and repeated
 documents match each for themselves; a document with one item in two passages is one hit, the
@@ -92,16 +93,18 @@ class Index:
 
     @staticmethod
     def _grams(term: np.ndarray) -> tuple[int, np.ndarray]:
-        size = min(GRAM, len(term))
-        return size, np.unique(windows(term, np.zeros(len(term), np.int64), size)[0]) if size else np.zeros(0, np.uint64)
+        n = len(term)
+        size = min(GRAM, n) if n < 5 else min(GRAM, (n + 1) // 3)  # one changed word leaves half of the groups of 5 or more
+        return size, np.unique(windows(term, np.zeros(n, np.int64), size)[0]) if size else np.zeros(0, np.uint64)
 
     def _parts(self, text: str) -> tuple:
-        """Question and answer as sets of word groups, and the number of words."""
+        """Question and answer, or twice the whole item, as sets of word groups, and the number of words."""
         term, _, start, _ = _tokens(pa.array([text]))
         mark = text.encode().rfind(b"?")
         cut = int(np.searchsorted(start, mark)) if mark >= 0 else len(term)
         if cut in (0, len(term)):
-            cut = len(term) - len(term) // 3
+            whole = self._grams(term)
+            return whole, whole, len(term)
         return self._grams(term[:cut]), self._grams(term[cut:]), len(term)
 
     def retrieve(self, passage: np.ndarray, term: np.ndarray, count: int, threshold: float) -> tuple[np.ndarray, ...]:

@@ -211,5 +211,24 @@ def test_leaks_with_other_words_around_case_and_marks(spark):
     assert sorted(r["doc_id"] for r in found.collect()) == [1, 2, 5]
 
 
+def test_leaks_with_words_changed_in_any_part_of_short_items(spark):
+    plain = "the quiet river Ostrel floods its lower valley every eleventh spring when snow melts early upstream"
+    long = " ".join(f"t{k * k % 41}x{k}" for k in range(39))
+    pair = "Which town lies at the mouth of the river Ostrel? Old Marvento by the sea"
+    items, texts, want = [(1, plain), (2, long), (3, pair)], [], set()
+    for item, text in items:
+        words = text.split()
+        for at in range(len(words)):
+            own = [f"other{at}" if k == at else w for k, w in enumerate(words)]
+            if item == 2:
+                own[(at + 4) % len(words)] = "another"
+            want.add((len(texts), item))
+            texts.append("some words before " + " ".join(own) + " and some after")
+    texts += [pair.split("?")[0], pair.split("? ")[1], " ".join(plain.split()[::-1]), " ".join(plain.split()[:7])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
 def test_queries_are_registered_once_per_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
