@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import find_leaks
+from millrace.llm.filter_audit import audit_filters, stream_documents
 from millrace.llm.licenses import scan_licenses
 from millrace.llm.mixing import fair_queue
 from millrace.llm.near import near_duplicates
+from millrace.llm.pieces import decode_pieces, encode_pieces
 from millrace.llm.quality import clean_lines
 from millrace.llm.ring import shard_rows
+from millrace.llm.spelling import spelling_groups
 from millrace.llm.suffix import remove_repeats
 from millrace.llm.token_counts import count_tokens
 from millrace.llm.token_files import sequence_round_trip
@@ -167,3 +170,50 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op11_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), model), model)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+AUDIT = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT t.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+      + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+      + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+      + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+      + CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+      FROM t LEFT JOIN l ON t.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+b AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT [v.x, w.x, y.x, z.x, u.x] AS letters, [v.bit, w.bit, y.bit, z.bit, u.bit] AS bits FROM b v, b w, b y, b z, b u
+      WHERE v.bit | w.bit | y.bit | z.bit | u.bit = 31),
+s AS (SELECT array_to_string(letters, '') AS filter_order, i AS step, bits[i] AS bit, coalesce(list_sum(bits[1:i - 1]), 0)::INTEGER AS before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS i)),
+r AS (SELECT part, filter_order, step, bit,
+        sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
+
+@query(AUDIT)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = stream_documents(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    return audit_filters(docs, table(spark, sf_dir, "labels"))
+
+
+@query()
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
