@@ -34,6 +34,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.llm.arrays import slices, utf8
 
@@ -240,4 +241,4 @@ def decode_pieces(rows: DataFrame, model: str, ids: str = "ids", decoded: str =
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(found, pa.string())], [*own.schema.names, decoded])
 
     source = rows.select(*[F.col(f"`{c}`") for c in kept])
-    return source.mapInArrow(run, source.schema.add(decoded, "string"))
+    return source.mapInArrow(run, StructType([*source.schema, StructField(decoded, StringType())]))

@@ -231,4 +231,4 @@ def test_leaks_with_words_changed_in_any_part_of_short_items(spark):
 
 
 def test_queries_are_registered_once_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
