@@ -3,8 +3,8 @@
 Five filters fail a text: A has few words, B few distinct ones, C many capitals, D a reserved
 symbol, E is identical to the text of a smaller key. A to D are bits of the text alone. E depends
 on the rest of the table, so it is decided by a stream: all files are processed as available-now
-micro-batches, and the state of a text (by its SHA-256) is the smallest key so far with the parts
-and labels of its rows. Those rows count as unique. When a smaller key arrives, their masks are
+micro-batches, and the state of a text (by its SHA-256; a few texts share one state key) is the
+smallest key so far with the parts and labels of its rows. Those rows count as unique. When a smaller key arrives, their masks are
 retracted from the part counters, counted again with E, and the new rows take their place; a
 larger key counts with E at once. A micro-batch's counters are one small table named by the
 batch, so a batch that is repeated replaces its own; part counters are the sums over all batches.
@@ -15,8 +15,9 @@ those before it, and it is the first of the k filters in a mask in 120 / k order
 Before the shuffle to the state, a batch of rows keeps only the rows of its smallest key of each
 text; the others are counts by part and mask, so a text that a third of all rows share costs a
 few rows per batch. Labels are joined after the texts are gone, by rows of some 60 bytes; rows
-without a key are spread over the tasks. State is kept in RocksDB and checkpointed in the
-shared folder, so it need not fit into memory and survives lost executors. Labels are read once per
+without a key are spread over the tasks. State is checkpointed in the shared folder, so it survives
+lost executors; where a state partition would hold more than ``TEXTS_IN_MEMORY`` texts it is kept
+in RocksDB, else in memory (an open RocksDB reserves 4 MB of disk per partition). Labels are read once per
 micro-batch; ``bytes_per_core`` keeps batches large against them.
 
 Defined results: a null text is the empty text, a null part the empty string. A row with a null
@@ -28,7 +29,7 @@ named are read.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -47,9 +48,11 @@ FILTERS = "ABCDE"
 COPY, GOOD, TOXIC = 16, 32, 64  # bits of a mark beside those of A to D
 HAS_KEY, LATER, NO_KEY = 0, 1, 2
 BYTES_PER_CORE = 64 << 20
+TEXTS_PER_KEY = 8  # on average: what a state key costs is shared by so many texts
+TEXTS_IN_MEMORY = 50_000  # of a state partition; beyond, RocksDB holds the state
 _RESERVED = np.isin(np.arange(256), list(b"#$%&*|"))
 _CAPITAL = np.isin(np.arange(256), np.arange(65, 91))
-_SETTINGS = {
+_ON_DISK = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -129,27 +132,31 @@ def follow(least: int | None, held: dict, rows: Iterator[tuple]) -> tuple[int |
     return least, held, change
 
 
-def _packed(row: str) -> tuple:
-    *numbers, part = row.split(" ", 4)
+def _unpacked(row: str) -> tuple[str, tuple]:
+    text, *numbers, part = row.split(" ", 5)
     key, kind, mark, n = map(int, numbers)
-    return key, kind, part, mark, n
-
-
-def _follow_group(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A group is one column of packed rows: turning a column into pandas costs more than the rest."""
-    least, held = None, {}
-    if state.exists:
-        least, parts, marks, counts = state.get
-        held = {(p, m): n for p, m, n in zip(parts, marks, counts)}
-    least, held, change = follow(least, held, (_packed(row) for f in frames for row in f["row"].tolist()))
-    if least is not None:
-        state.update((least, [p for p, _ in held], [m for _, m in held], list(held.values())))
-    change = [f"{m} {n} {p}" for (p, m), n in change.items() if n]
-    if change:
-        yield pd.DataFrame({"change": change})
-
-
-def part_counters(docs: DataFrame, labels: DataFrame, key: str, part: str, text: str) -> DataFrame:
+    return text, (key, kind, part, mark, n)
+
+
+def _follow_group(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The texts of one state key. Rows and state are packed: a column given to pandas costs more than all else."""
+    least, held, arrived = {}, defaultdict(dict), defaultdict(list)
+    for text, (key, _, part, mark, n) in map(_unpacked, state.get[0] if state.exists else ()):
+        least[text] = key
+        held[text][part, mark] = n
+    for text, row in (_unpacked(row) for f in frames for row in f["row"].tolist()):
+        arrived[text].append(row)
+    total: Counter = Counter()
+    for text, rows in arrived.items():
+        least[text], held[text], change = follow(least.get(text), held[text], iter(rows))
+        total.update(change)
+    state.update(([f"{text} {least[text]} {HAS_KEY} {m} {n} {p}" for text, own in held.items() for (p, m), n in own.items()],))
+    changes = [f"{m} {n} {p}" for (p, m), n in total.items() if n]
+    if changes:
+        yield pd.DataFrame({"change": changes})
+
+
+def part_counters(docs: DataFrame, labels: DataFrame, rows_expected: int, key: str, part: str, text: str) -> DataFrame:
     """(part, mark, n): how many rows of a part have a mark, after all files of the stream ``docs``."""
     spark = docs.sparkSession
     if not docs.isStreaming:
@@ -162,10 +169,10 @@ def part_counters(docs: DataFrame, labels: DataFrame, key: str, part: str, text:
     rows = _marked(source).withColumn("spread", spread)
     rows = rows.join(known.withColumn("none", F.lit(0)), (F.col("key") == F.col("id")) & (F.col("spread") == F.col("none")), "left")
     rows = rows.select("digest", "key", "part", (F.col("mark") + F.coalesce("label", F.lit(0))).alias("mark"))
-    packed = _combined(rows).select("digest", F.concat_ws(" ", "key", "kind", "mark", "n", "part").alias("row"))
-    changes = packed.groupBy("digest").applyInPandasWithState(
-        _follow_group, "change string", "least long, parts array<string>, marks array<int>, counts array<long>",
-        "update", GroupStateTimeout.NoTimeout,
+    packed = F.concat_ws(" ", F.base64("digest"), "key", "kind", "mark", "n", "part").alias("row")
+    own = F.pmod(F.xxhash64("digest"), F.lit(max(1, rows_expected // TEXTS_PER_KEY))).alias("own")
+    changes = _combined(rows).select(own, packed).groupBy("own").applyInPandasWithState(
+        _follow_group, "change string", "texts array<string>", "update", GroupStateTimeout.NoTimeout
     )
     place = scratch_path(spark, "filter-audit")
 
@@ -174,9 +181,11 @@ def part_counters(docs: DataFrame, labels: DataFrame, key: str, part: str, text:
         rows = batch.select(word[2].alias("part"), word[0].cast("int").alias("mark"), word[1].cast("long").alias("n"))
         rows.groupBy("part", "mark").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{place}/counters/batch={number}")
 
-    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    settings = _ON_DISK if rows_expected > TEXTS_IN_MEMORY * partitions else {}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        for k, v in _SETTINGS.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
         writer = changes.writeStream.outputMode("update").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True)
         writer.foreachBatch(keep).start().awaitTermination()
@@ -236,12 +245,15 @@ def audit(counters: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(steps), ["bit", "before"]).select("part", "filter_order", "step", *names)
 
 
-def audit_filters(docs: DataFrame, labels: DataFrame, key: str = "doc_id", part: str = "source", text: str = "text") -> DataFrame:
+def audit_filters(
+    docs: DataFrame, labels: DataFrame, rows_expected: int, key: str = "doc_id", part: str = "source", text: str = "text"
+) -> DataFrame:
     """kept, removed, redundant, unique_fails, good_lost, toxic_lost and shapley of every part, order and step.
 
-    ``docs`` is a stream over the files of documents, ``labels`` a table of ``key``, quality and toxic.
+    ``docs`` is a stream over the files of documents, ``labels`` a table of ``key``, quality and
+    toxic. ``rows_expected`` sizes the state alone; results do not depend on it.
     """
-    return audit(part_counters(docs, labels, key, part, text))
+    return audit(part_counters(docs, labels, rows_expected, key, part, text))
 
 
 def stream_documents(spark, path: str, bytes_per_core: int = BYTES_PER_CORE) -> DataFrame:

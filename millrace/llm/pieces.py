@@ -39,7 +39,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from millrace.llm.arrays import slices, utf8
 
 MARK = "▁"
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 32 << 20
 _ENTRY = 150  # bytes a table entry takes beside its chunk and ids
 
 
@@ -232,7 +232,7 @@ def decode_pieces(rows: DataFrame, model: str, ids: str = "ids", decoded: str =
         for batch in batches:
             column = batch.column(at).cast(pa.large_binary()).fill_null(b"")
             whole = np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy())])
-            for a, b in slices(whole, 8 << 20):
+            for a, b in slices(whole):
                 part = column.slice(a, b - a)
                 raw = np.frombuffer(part.buffers()[2] or b"", np.uint8)
                 edge = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]

@@ -211,7 +211,7 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 @query(AUDIT)
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_documents(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
-    return audit_filters(docs, table(spark, sf_dir, "labels"))
+    return audit_filters(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents").count())
 
 
 @query()

@@ -15,7 +15,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import spelling
+from millrace.llm import filter_audit, spelling
 from millrace.llm.filter_audit import FILTERS, HAS_KEY, audit_filters, follow, stream_documents
 from millrace.llm.pieces import ChunkTable, PieceTable, decode_pieces, encode_pieces
 from millrace.llm.spelling import near_pairs, spelling_groups
@@ -104,8 +104,8 @@ def plain_audit(rows: list[tuple], labels: list[tuple]) -> Counter:
     return Counter((p, o, s, c["kept"], c["removed"], c["redundant"], c["unique"], c["good"], c["toxic"], shapley[p, o[s - 1]]) for (p, o, s), c in out.items())
 
 
-def audited(spark, folder, labels, per_core=1):
-    out = audit_filters(stream_documents(spark, str(folder), per_core), labels)
+def audited(spark, folder, labels, rows_expected=40, per_core=1):
+    out = audit_filters(stream_documents(spark, str(folder), per_core), labels, rows_expected)
     return Counter(tuple(r) for r in out.collect())
 
 
@@ -122,10 +122,12 @@ def test_filter_audit_with_smaller_keys_later(spark, odd, tmp_path):
     flat = tmp_path / "flat"
     spark.read.option("recursiveFileLookup", True).parquet(str(folder)).repartition(7).write.parquet(str(flat))
     want = plain_audit(rows, labels)
-    assert audited(spark, flat, marks) == want
+    assert audited(spark, flat, marks) == audited(spark, flat, marks, 0, 1 << 20) == want
 
 
-def test_filter_audit_of_documents(spark, docs, tmp_path):
+def test_filter_audit_of_documents(spark, docs, tmp_path, monkeypatch):
+    """With the state in RocksDB."""
+    monkeypatch.setattr(filter_audit, "TEXTS_IN_MEMORY", 0)
     docs.orderBy("doc_id", ascending=False).repartitionByRange(4, -docs["doc_id"]).write.parquet(str(tmp_path / "docs"))
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     want = plain_audit([(r["doc_id"], r["text"], r["source"]) for r in docs.collect()], [(r["doc_id"], r["quality"], r["toxic"]) for r in labels.collect()])
@@ -137,7 +139,7 @@ def test_filter_audit_of_nothing(spark, none, tmp_path):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert not audited(spark, tmp_path / "docs", labels)
     with pytest.raises(ValueError):
-        audit_filters(none, labels)
+        audit_filters(none, labels, 0)
 
 
 @settings(max_examples=100, deadline=None)
