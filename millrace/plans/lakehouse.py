@@ -18,7 +18,8 @@ from millrace.operators.gold import (
     top_customers,
 )
 from millrace.operators.items import clean_sales, explode_items
-from millrace.sinks.tables import save_table
+from millrace.sinks.buckets import BucketedTable
+from millrace.sinks.tables import create_stored_view, save_table
 from millrace.sources.files import read_csv, read_if_present, read_json
 from millrace.sources.streams import stream_json
 from millrace.streaming.runs import run_continuous, run_once
@@ -52,12 +53,15 @@ class Lakehouse:
     """Tables of one lakehouse under ``root``, named in the current database.
 
     ``max_files`` bounds how many files a micro-batch takes, so that a large backlog is
-    worked off in batches that each fit the cluster.
+    worked off in batches that each fit the cluster. Silver sales and items lie in
+    ``buckets`` hash buckets of the sale, chosen for good: a refresh reads and rewrites those
+    its sales fall into. They are read by name through views.
     """
 
     spark: SparkSession
     root: str
     max_files: int | None = None
+    buckets: int = 16
 
     def _save(self, df: DataFrame, tier: str, name: str) -> DataFrame:
         return save_table(
@@ -103,23 +107,31 @@ class Lakehouse:
     def _bronze(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(self.bronze_path)
 
+    def _silver(self, name: str, key: str) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.root}/silver/{name}", (key,), self.buckets)
+
+    def _named(self, table: BucketedTable, name: str) -> DataFrame:
+        columns = ", ".join(f"`{c}`" for c in table.read().columns)
+        return create_stored_view(self.spark, name, f"SELECT {columns} FROM parquet.`{table.path}`", {"quality": "silver"})
+
     def refresh_sales(self) -> DataFrame:
         """Bring silver sales and their items up to date with bronze.
 
         Only sales in bronze files that no refresh has seen are derived anew, from all
         their exports, and merged into silver; the items of those sales are replaced. No
         clock is asked: a file counts once, whenever it was written. Files that arrive
-        meanwhile are left to the next refresh, as the list of files is taken once.
+        meanwhile are left to the next refresh, as the list of files is taken once. A refresh
+        that died is repeated by the next one, as its files are noted last.
         """
         spark = self.spark
+        sales, items = self._silver("silver_sales", "id"), self._silver("silver_sale_items", "sale_id")
         raw = self._bronze()
         bronze = repair_from_rescued(raw.withColumn("__file", F.col("_metadata.file_path")))
         done = read_if_present(spark, f"{self.root}/silver/_refreshed_files")
         if done is None:
             arrived = bronze
-            latest = self._latest(bronze)
-            sales = self._save(latest, "silver", "silver_sales")
-            self._save(explode_items(sales), "silver", "silver_sale_items")
+            sales.replace(self._latest(bronze))
+            items.replace(explode_items(sales.read()))
         else:
             arrived = bronze.join(done, "__file", "left_anti")
             touched = arrived.select(F.col("SaleID").alias("__sale")).distinct()
@@ -128,20 +140,20 @@ class Lakehouse:
             fresh = f"{self.root}/silver/_arrived/{uuid.uuid4().hex}"
             latest.write.mode("errorifexists").parquet(fresh)
             latest = spark.read.parquet(fresh)
-            new = latest.select(F.col("id").alias("__sale"))
-            # sales without an id are one row, as on the first load
-            silver = spark.table("silver_sales")
-            nameless = F.col("id").isNull() & F.col("__sale").isNull()
-            silver = silver.join(new.where("__sale IS NULL"), nameless, "left_anti")
-            # one row per sale by construction, so no check
-            merged = merge_upsert(silver, latest, ["id"], check_source=False)
-            kept = spark.table("silver_sale_items")
-            kept = kept.join(new, F.col("sale_id").eqNullSafe(F.col("__sale")), "left_anti")
-            items = kept.unionByName(explode_items(latest))
-            sales = self._save(merged, "silver", "silver_sales")
-            self._save(items, "silver", "silver_sale_items")
+            hit = sales.hit_by(latest)  # items lie in the buckets of their sales
+            if hit:
+                new = latest.select(F.col("id").alias("__sale"))
+                # sales without an id are one row, as on the first load
+                nameless = F.col("id").isNull() & F.col("__sale").isNull()
+                silver = sales.read(hit).join(new.where("__sale IS NULL"), nameless, "left_anti")
+                kept = items.read(hit).join(new, F.col("sale_id").eqNullSafe(F.col("__sale")), "left_anti")
+                # one row per sale by construction, so no check
+                merged = merge_upsert(silver, latest, ["id"], check_source=False)
+                items.replace(kept.unionByName(explode_items(latest)), hit, emptied=True)
+                sales.replace(merged, hit)
         arrived.select("__file").distinct().write.mode("append").parquet(f"{self.root}/silver/_refreshed_files")
-        return sales
+        self._named(items, "silver_sale_items")
+        return self._named(sales, "silver_sales")
 
     def _latest(self, bronze: DataFrame) -> DataFrame:
         return clean_sales(bronze.drop("__file"), tie_breakers=("inserted_at", "file_path"))

@@ -11,6 +11,7 @@ from millrace.functions.columns import with_row_hash
 from millrace.operators import changes
 from millrace.registry.base import query, table
 from millrace.session import scratch_path
+from millrace.sinks.buckets import BucketedTable
 
 
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,8 +52,7 @@ def delete_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    """
+MERGED = """
 WITH source AS (
   SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal,
          c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
@@ -66,12 +66,13 @@ SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_n
 FROM (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer) t
 FULL JOIN source s ON t.c_custkey = s.c_custkey
 """
-)
-def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Overdrawn accounts of two segments are reset, and some customers are new.
 
-    ``changed`` is copied along without being hashed, so it shows which rows the merge
-    took from the source.
+
+def _accounts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All customers, and what is merged into them.
+
+    Overdrawn accounts of two segments are reset, and some customers are new. ``changed`` is
+    copied along without being hashed, so it shows which rows the merge took from the source.
     """
     customer = table(spark, sf, "customer").select(
         "c_custkey", "c_name", "c_acctbal", "c_mktsegment"
@@ -88,10 +89,26 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
         "c_mktsegment",
     )
     target = with_row_hash(customer).withColumn("changed", F.lit(False))
-    source = with_row_hash(reset.unionByName(new)).withColumn("changed", F.lit(True))
+    return target, with_row_hash(reset.unionByName(new)).withColumn("changed", F.lit(True))
+
+
+@query(MERGED)
+def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    target, source = _accounts(spark, sf)
     return changes.merge_upsert(target, source, ["c_custkey"]).drop("row_hash")
 
 
+@query(MERGED)
+def merge_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge into a stored table, segment by segment, each rewriting the buckets it hits."""
+    target, source = _accounts(spark, sf)
+    stored = BucketedTable(spark, scratch_path(spark, "merge_buckets"), ("c_custkey",), 8)
+    stored.replace(target)
+    for segment in ("BUILDING", "MACHINERY", "HOUSEHOLD"):
+        stored.merge(source.where(F.col("c_mktsegment") == segment))
+    return stored.read().drop("row_hash")
+
+
 NEW_ORDERS = """
 SELECT o_orderkey, o_orderstatus,
        CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,

@@ -10,7 +10,8 @@ from millrace.registry.base import as_text, query, seconds, table
 from millrace.session import scratch_path
 from millrace.sinks.tables import append_evolving, create_table_as, save_table, write_json
 from millrace.sources import files
-from millrace.sources.streams import stream_json
+from millrace.sources.schema_store import SchemaStore
+from millrace.sources.streams import stream_json, stream_parquet
 from millrace.streaming.runs import run_once
 
 
@@ -165,3 +166,43 @@ def csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     part.write.options(header=True, quote='"').csv(path)
     back = files.read_csv(spark, path)
     return back.select(*[F.col(f.name).cast(f.dataType) for f in part.schema.fields])
+
+
+GROWN = """
+SELECT event_id, user_id, CASE WHEN day(ts) > 10 THEN event_type END AS event_type,
+       CASE WHEN day(ts) > 20 THEN value ELSE floor(value) END AS value,
+       CASE WHEN day(ts) > 20 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS mixed
+FROM events
+"""
+
+
+def _grow(spark: SparkSession, sf: str, root: str) -> SchemaStore:
+    """Events land in three drops: keys of int, then long; values of int, then double; a late column."""
+    store = SchemaStore(spark, f"{root}/landing", f"{root}/_schema")
+    events = table(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
+    whole = F.floor("value").cast("int").alias("value")
+    drops = (
+        ("day <= 10", [F.col("event_id").cast("int"), F.col("user_id").cast("short"), whole, F.col("user_id").cast("int").alias("mixed")]),
+        ("day BETWEEN 11 AND 20", ["event_id", F.col("user_id").cast("int"), "event_type", whole, F.col("user_id").cast("int").alias("mixed")]),
+        ("day > 20", ["event_type", "event_id", "user_id", "value", F.col("event_type").alias("mixed")]),
+    )
+    for condition, columns in drops:
+        events.where(condition).select(*columns).write.mode("append").parquet(f"{root}/landing")
+        store.refresh()
+    return store
+
+
+@query(GROWN)
+def widened_column(spark: SparkSession, sf: str) -> DataFrame:
+    """All drops under the schema that was kept while their types grew, up to text."""
+    return _grow(spark, sf, scratch_path(spark, "widened_column")).read().select("event_id", "user_id", "event_type", "value", "mixed")
+
+
+@query(f"SELECT event_id, user_id, event_type, value FROM ({GROWN})")
+def widened_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same drops as a stream that reads every file by the kept schema."""
+    root = scratch_path(spark, "widened_stream")
+    schema = _grow(spark, sf, root).known()
+    schema = type(schema)([f for f in schema if f.name != "mixed"])
+    run_once(stream_parquet(spark, f"{root}/landing", schema), f"{root}/bronze", f"{root}/_checkpoint")
+    return spark.read.schema(schema).parquet(f"{root}/bronze").select("event_id", "user_id", "event_type", "value")

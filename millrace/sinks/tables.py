@@ -111,9 +111,12 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def create_stored_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+def create_stored_view(
+    spark: SparkSession, name: str, query: str, properties: Mapping[str, str] | None = None
+) -> DataFrame:
     """A view kept in the catalogue."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in (properties or {}).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} {f'TBLPROPERTIES ({pairs})' if pairs else ''} AS {query}")
     return spark.table(name)
 
 

@@ -32,10 +32,11 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
     """A Parquet folder, or None when nothing was written there yet."""
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

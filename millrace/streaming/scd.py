@@ -23,13 +23,14 @@ def scd1_stream(changes: DataFrame, keys: Sequence[str], order: str = GLOBAL_ORD
 
 
 def append_history(
-    changes: DataFrame, path: str, checkpoint: str, load_id: int
+    changes: DataFrame, path: str, checkpoint: str, load_id: int, partition_by: Sequence[str] = ()
 ) -> None:
     """Append the changes that are new to the history, marked with the load's number.
 
-    The history is partitioned by load, so that a load is read without the ones before.
+    The history is partitioned by load, and by other columns before it if given, so that a
+    load is read without the ones before.
     """
-    run_once(changes.withColumn(LOAD, F.lit(load_id)), path, checkpoint, [LOAD])
+    run_once(changes.withColumn(LOAD, F.lit(load_id)), path, checkpoint, [*partition_by, LOAD])
 
 
 def read_history(spark: SparkSession, path: str, after_load: int | None = None) -> DataFrame:
