@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import json_path, text_to_epoch
@@ -164,6 +164,17 @@ def log_version(
     )
 
 
+def append_log(feed: DataFrame, path: str) -> None:
+    """Add the changes of new versions to a stored log, one partition a version."""
+    feed.write.mode("append").partitionBy("version").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A stored log; a range of versions or a read as of a version scans only their partitions."""
+    log = spark.read.option("mergeSchema", True).parquet(path)
+    return log.withColumn("version", F.col("version").cast("long"))
+
+
 def changes_between(
     log: DataFrame,
     start: int | datetime,

@@ -63,14 +63,16 @@ def country_monthly_sales(
     )
 
 
-def customer_spend(items: DataFrame, sales: DataFrame, customers: DataFrame) -> DataFrame:
+def customer_spend(items: DataFrame, sales: DataFrame, customers: DataFrame, laid_out: bool = False) -> DataFrame:
     """Spend per store and known customer.
 
-    Items are laid out by sale once, for the sum per sale and the join with the sales.
+    Items are laid out by sale once, for the sum per sale and the join with the sales;
+    say ``laid_out`` if both are tables in buckets of the sale, which are not shuffled at all.
     Spend is summed to (store, customer) before the customer dimension is joined, so a
     customer with a third of the sales reaches that join as a few rows.
     """
-    placed = items.select("sale_id", "store_id", "product_cost").repartition("sale_id")
+    placed = items.select("sale_id", "store_id", "product_cost")
+    placed = placed if laid_out else placed.repartition("sale_id")
     per_sale = placed.groupBy("sale_id", "store_id").agg(F.sum("product_cost").alias("cost"))
     buyers = sales.where(F.col("unique_customer_id").isNotNull()).select(
         F.col("id").alias("sale_id"), "unique_customer_id"
@@ -89,7 +91,10 @@ def customer_spend(items: DataFrame, sales: DataFrame, customers: DataFrame) ->
 
 
 def top_customers(spend: DataFrame, n: int = 3) -> DataFrame:
-    """The n best customers of each store, ties kept, in store and rank order."""
+    """The n best customers of each store, ties kept, in store and rank order.
+
+    Reads ``spend`` twice (see ``spread_ties``), so give it stored.
+    """
     ranked = top_n_per_group(
         spend.select(
             "store_id",

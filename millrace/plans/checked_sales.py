@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.gold import (
@@ -26,7 +27,7 @@ from millrace.plans.lakehouse import SALES_FIELDS, SALES_HINTS, with_country
 from millrace.sinks.tables import save_table
 from millrace.sources.files import query_path
 from millrace.sources.streams import stream_json, stream_parquet
-from millrace.streaming.runs import observed, run_once
+from millrace.streaming.runs import observed, observed_failure, run_once
 
 # Names and conditions of the rules.
 SALES_RULES = (
@@ -66,16 +67,22 @@ class CheckedSales:
 
     def _append(self, stream: DataFrame, name: str, rules: tuple[Rule, ...] = ()) -> DataFrame:
         path = f"{self.root}/{name}"
+        checkpoint = f"{self.root}/_checkpoints/{name}"
+        checked = expect(stream, rules, observation=name) if rules else stream
+        try:
+            query = run_once(checked, path, checkpoint)
+        except StreamingQueryException:
+            if rules:
+                self._report(observed_failure(stream, checkpoint, name, rules), "failed-")
+            raise
         if rules:
-            stream = expect(stream, rules, observation=name)
-        query = run_once(stream, path, f"{self.root}/_checkpoints/{name}")
-        if rules:
-            counts = observed(query, name, rules)
-            report = self.spark.createDataFrame(counts, REPORT)
-            events = quality_events(report, uuid.uuid4().hex)
-            events.write.mode("append").parquet(f"{self.root}/_quality_events")
+            self._report(observed(query, name, rules))
         return self.spark.read.option("mergeSchema", True).parquet(path)
 
+    def _report(self, counts: list[tuple], prefix: str = "") -> None:
+        events = quality_events(self.spark.createDataFrame(counts, REPORT), prefix + uuid.uuid4().hex)
+        events.write.mode("append").parquet(f"{self.root}/_quality_events")
+
     def _bronze_stream(self, bronze: DataFrame) -> DataFrame:
         return rename_sales(stream_parquet(self.spark, f"{self.root}/bronze_sales", bronze.schema))
 
@@ -103,7 +110,10 @@ class CheckedSales:
         return {**tables, "bronze_sales": bronze, "silver_sales": sales, "silver_sale_items": items}
 
     def updates(self) -> DataFrame:
-        """Pass and fail counts of every update, as the streams themselves counted them."""
+        """Pass and fail counts of every update, as the streams themselves counted them.
+
+        An update that a rule stopped has its counts too, under an id that starts with ``failed-``.
+        """
         return parse_quality_events(self.spark.read.parquet(f"{self.root}/_quality_events"))
 
     def quality(self, event_id: str = "update") -> DataFrame:

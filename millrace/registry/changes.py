@@ -183,6 +183,29 @@ def changes_since(spark: SparkSession, sf: str) -> DataFrame:
     return changes.changes_between(event_log(spark, sf), 25)
 
 
+@query(
+    f"""
+SELECT user_id, value, props, event_id, 'changes' AS read FROM ({LOG}) WHERE version BETWEEN 8 AND 9
+UNION ALL
+SELECT user_id, value, props, event_id, 'as of'
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY version DESC, event_id DESC) AS rn
+      FROM ({LOG}) WHERE version <= 10 AND change_type <> 'update_preimage')
+WHERE rn = 1 AND change_type <> 'delete'
+"""
+)
+def stored_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A log stored by version: its changes of two versions, and the table as it was at another."""
+    path = scratch_path(spark, "stored_log")
+    log = event_log(spark, sf)
+    for early in (True, False):
+        changes.append_log(log.where((F.col("version") < 9) == early), path)
+    log = changes.read_log(spark, path)
+    columns = ["user_id", "value", "props", "event_id"]
+    between = changes.changes_between(log, 8, 9).select(*columns, F.lit("changes").alias("read"))
+    then = changes.as_of(log, ["user_id"], version=10, order=("version", "event_id"))
+    return between.unionByName(then.select(*columns, F.lit("as of").alias("read")))
+
+
 @query(
     f"""
 SELECT user_id, value, props, event_id

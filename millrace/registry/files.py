@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from millrace.operators import layout
 from millrace.registry.base import as_text, query, seconds, table
 from millrace.session import scratch_path
+from millrace.sinks import tables
 from millrace.sinks.tables import append_evolving, create_table_as, save_table, write_json
 from millrace.sources import files
 from millrace.sources.schema_store import SchemaStore
 from millrace.sources.streams import stream_json, stream_parquet
-from millrace.streaming.runs import run_once
+from millrace.streaming.runs import run_continuous, run_once
 
 
 @query(
@@ -206,3 +207,75 @@ def widened_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = type(schema)([f for f in schema if f.name != "mixed"])
     run_once(stream_parquet(spark, f"{root}/landing", schema), f"{root}/bronze", f"{root}/_checkpoint")
     return spark.read.schema(schema).parquet(f"{root}/bronze").select("event_id", "user_id", "event_type", "value")
+
+
+@query("SELECT event_id, user_id, event_type, value, 'RUNNING' AS before, 'STOPPED' AS after FROM events")
+def continuous_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Events land while a query runs on; what it wrote until it was stopped, and its states."""
+    root = scratch_path(spark, "continuous_run")
+    name = f"continuous_{root.rsplit('-', 1)[1]}"
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    half = F.col("event_id") % 2
+    events.where(half == 0).write.parquet(f"{root}/landing")
+    stream = stream_parquet(spark, f"{root}/landing", events.schema)
+    running = run_continuous(stream, f"{root}/out", f"{root}/_checkpoint", "200 milliseconds", name)
+    state = lambda: "RUNNING" if running.isActive else "STOPPED"
+    try:
+        running.processAllAvailable()
+        events.where(half == 1).write.mode("append").parquet(f"{root}/landing")
+        running.processAllAvailable()
+        before = state()
+    finally:
+        running.stop()
+    return spark.table(name).withColumns({"before": F.lit(before), "after": F.lit(state())})
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def archived_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Three drops of JSON; what a run took in moves out of the landing folder at the next one."""
+    root = scratch_path(spark, "archived_ingest")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    for drop in range(3):
+        write_json(events.where(F.col("event_id") % 3 == drop), f"{root}/landing/drop{drop}")
+        stream = stream_json(
+            spark, f"{root}/landing", "event_id long, user_id long, value double", events.columns, archive=f"{root}/archive"
+        )
+        run_once(stream, f"{root}/bronze", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/bronze").select(*events.columns)
+
+
+@query(
+    """
+SELECT p_partkey, p_brand, CAST(NULL AS INTEGER) AS stock, 'registered' AS step FROM part WHERE p_size > 25
+UNION ALL SELECT p_partkey, upper(p_brand), NULL, 'replaced' FROM part WHERE p_size <= 25
+UNION ALL SELECT p_partkey, p_brand, p_size, 'view' FROM part WHERE p_size > 40
+UNION ALL SELECT NULL, 'p_partkey p_brand stock', NULL, 'described'
+"""
+)
+def ddl_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Files registered as a table that then gains a column, a replaced table, views, and a description."""
+    root = scratch_path(spark, "ddl_tables")
+    name = f"ddl_{root.rsplit('-', 1)[1]}"
+    database = spark.catalog.currentDatabase()
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
+    tables.write_parquet(part.where("p_size > 25").drop("p_size"), f"{root}/files")
+    tables.use_database(spark, name)
+    try:
+        tables.register_table(spark, f"{name}.parts", f"{root}/files")
+        registered = tables.add_column(spark, f"{name}.parts", "stock", "int")
+        for rows in (part, part.where("p_size <= 25").withColumn("p_brand", F.upper("p_brand"))):
+            replaced = save_table(rows.drop("p_size"), f"{name}.small", f"{root}/small")
+        tables.create_view(part.withColumnRenamed("p_size", "stock"), f"{name}_all")
+        save_table(spark.table(f"{name}_all"), f"{name}.stocked")
+        view = tables.create_stored_view(spark, f"{name}.large", f"SELECT * FROM {name}.stocked WHERE stock > 40")
+        lines = tables.describe_table(spark, f"{name}.parts").select("col_name").collect()
+        columns = " ".join(r[0] for r in lines[:3])
+        steps = {"registered": registered, "replaced": replaced.withColumn("stock", F.lit(None).cast("int")), "view": view}
+        found = spark.createDataFrame([(None, columns, None, "described")], "p_partkey long, p_brand string, stock int, step string")
+        for step, rows in steps.items():
+            found = found.unionByName(rows.withColumn("step", F.lit(step)))
+        return tables.stored(found, "ddl")
+    finally:
+        spark.catalog.dropTempView(f"{name}_all")
+        spark.sql(f"USE {database}")
+        tables.drop_database(spark, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from millrace.operators.quality import Rule
 from millrace.registry.base import query, table
 from millrace.session import scratch_path
 from millrace.sources.streams import stream_parquet
-from millrace.streaming.runs import observed, run_once
+from millrace.streaming.runs import observed, observed_failure, run_once
 
 ORDER_RULES = (
     Rule("priority is named", "length(o_orderpriority) > 4", "fail"),
@@ -124,3 +125,30 @@ def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
     counts = {name: (passed, failed) for _, name, _, passed, failed, _ in observed(done, "events_checked", rules)}
     clean = spark.read.parquet(f"{root}/events")
     return clean.withColumns({"passed": F.lit(counts["no errors"][0]).cast("long"), "failed": F.lit(counts["no errors"][1]).cast("long")})
+
+
+@query(
+    _line("events", "errors stop the run", "fail", "event_type <> 'error'", "events WHERE day(ts) > 15")
+    + " UNION ALL "
+    + _line("events", "no early users", "drop", "user_id > 100", "events WHERE day(ts) > 15")
+)
+def failed_update_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of a run that a rule stops, after one that went well; only its own rows are counted."""
+    root = scratch_path(spark, "failed_update_counts")
+    events = table(spark, sf, "events")
+    late = F.dayofmonth("ts") > 15
+    rules = [Rule("errors stop the run", "event_type <> 'error'", "fail"), Rule("no early users", "user_id > 100", "drop")]
+
+    def land(rows: DataFrame) -> DataFrame:
+        rows.write.mode("append").parquet(f"{root}/landing")
+        return stream_parquet(spark, f"{root}/landing", events.schema)
+
+    first = land(events.where(~late & F.expr("event_type <> 'error'")))
+    run_once(quality.expect(first, rules, observation="events"), f"{root}/out", f"{root}/_checkpoint")
+    second = land(events.where(late))
+    try:
+        run_once(quality.expect(second, rules, observation="events"), f"{root}/out", f"{root}/_checkpoint")
+    except StreamingQueryException:
+        lines = observed_failure(second, f"{root}/_checkpoint", "events", rules)
+        return spark.createDataFrame(lines, quality.REPORT)
+    raise AssertionError("the rule did not stop the run")

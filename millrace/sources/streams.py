@@ -19,13 +19,18 @@ def stream_json(
     fields: Sequence[str] | None = None,
     provenance: bool = True,
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """JSON-lines files of a folder tree with hints, rescue and provenance columns.
 
     The field names are taken from the files already there when none are given; a field
-    that shows up later goes to the rescued column.
+    that shows up later goes to the rescued column. With ``archive``, a folder beside the
+    tree, files of committed batches move there when the next batch is planned, so the
+    listing of the tree does not grow with all that ever landed.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.load(path)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from millrace.operators.quality import Rule
+from millrace.operators.quality import Rule, expect
+from millrace.session import scratch_path
 
 
 def _parquet_writer(
@@ -66,3 +69,23 @@ def observed(query: StreamingQuery, name: str, rules: Sequence[Rule]) -> list[tu
         passed, failed = (sum(row[f"{side}_{i}"] for row in seen) for side in ("passed", "failed"))
         lines.append((name, rule.name, rule.on_violation, passed, failed, failed if rule.on_violation == "drop" else 0))
     return lines
+
+
+def observed_failure(stream: DataFrame, checkpoint: str, name: str, rules: Sequence[Rule]) -> list[tuple]:
+    """Report lines of the rows that a run with ``checkpoint`` failed on, and committed nothing of.
+
+    A batch that fails reports no counts. So the run is made again from a copy of its
+    checkpoint, a few small files, with the rules only counting and the rows going nowhere: it sees
+    exactly the batches the failed run could not commit, and the next real run still has them.
+    """
+    spark = stream.sparkSession
+    copy = scratch_path(spark, "failed-run")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    source, target = hadoop.Path(checkpoint), hadoop.Path(copy)
+    hadoop.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    counted = expect(stream, [replace(r, on_violation="keep") for r in rules], observation=name)
+    query = counted.writeStream.format("noop").option("checkpointLocation", copy).trigger(availableNow=True).start()
+    query.awaitTermination()
+    lines = observed(query, name, rules)
+    target.getFileSystem(conf).delete(target, True)
+    return lines

@@ -2,9 +2,13 @@ import pytest
 from fixtures import ITEMS, sale, stores, write_lines
 from pyspark.sql import functions as F
 
-from millrace.operators.gold import records_per_file
+from millrace.operators.changes import append_log, as_of, changes_between, read_log
+from millrace.operators.gold import customer_spend, records_per_file
 from millrace.plans.checked_sales import CheckedSales
 from millrace.plans.lakehouse import Lakehouse, with_country
+from millrace.sinks.tables import save_table
+from millrace.sources.streams import stream_json
+from millrace.streaming.runs import run_once
 
 
 @pytest.fixture
@@ -140,3 +144,69 @@ def test_checked_sales(spark, data):
     finally:
         spark.sql("USE default")
         spark.sql("DROP DATABASE checked CASCADE")
+
+
+def test_a_failed_update_leaves_its_counts(spark, data):
+    spark.sql("CREATE DATABASE IF NOT EXISTS failing")
+    spark.sql("USE failing")
+    try:
+        pipeline = CheckedSales(spark, str(data / "landing"), str(data), str(data / "failing"))
+        write_lines(data / "landing" / "a.json", [sale("s1")])
+        pipeline.update()
+        write_lines(data / "landing" / "b.json", [sale("s2", store="SYD001"), sale("s3", state="PENDING"), sale("s4")])
+        for _ in range(2):  # the rows are still to be taken in, so the next update counts them again
+            with pytest.raises(Exception, match="5 characters"):
+                pipeline.update()
+        events = pipeline.updates().where("name LIKE 'Location%'").collect()
+        counts = sorted((r["id"].startswith("failed-"), r["passed_records"], r["failed_records"]) for r in events)
+        assert counts == [(False, 1, 0), (True, 2, 1), (True, 2, 1)]
+        assert {r["id"] for r in spark.read.parquet(str(data / "failing" / "silver_sales")).collect()} == {"s1"}
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE failing CASCADE")
+
+
+def test_bucketed_facts_are_not_shuffled(spark, tmp_path):
+    items = spark.range(400).selectExpr("id % 90 AS sale_id", "id % 3 AS store_id", "CAST(1 AS DECIMAL(18,2)) AS product_cost")
+    sales = spark.range(90).selectExpr("id", "concat('C-', id % 7) AS unique_customer_id")
+    people = spark.range(7).selectExpr("concat('C-', id) AS unique_id", "concat('n', id) AS name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for _ in range(2):  # the second time from the table itself
+            items = save_table(items, "b_items", str(tmp_path / "items"), bucket_by=(["sale_id"], 4))
+            sales = save_table(sales, "b_sales", str(tmp_path / "sales"), bucket_by=(["id"], 4))
+        spend = customer_spend(items, sales, people, laid_out=True)
+        plan = spend._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning(sale_id" not in plan and "hashpartitioning(id" not in plan
+        assert {tuple(r) for r in spend.collect()} == {tuple(r) for r in customer_spend(items, sales, people).collect()}
+        assert len(list((tmp_path / "items").rglob("*.parquet"))) == 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE b_items")
+        spark.sql("DROP TABLE b_sales")
+
+
+def test_reads_of_a_stored_log_prune_versions(spark, tmp_path):
+    log = spark.range(100).selectExpr("id % 10 AS k", "id AS v", "'insert' AS change_type", "id DIV 10 AS version")
+    append_log(log, str(tmp_path / "log"))
+    kept = read_log(spark, str(tmp_path / "log"))
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    for rows in (changes_between(kept, 3, 4), as_of(kept, ["k"], version=4)):
+        plan = rows._jdf.queryExecution().explainString(formatted)
+        assert "PartitionFilters: [" in plan and "version" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert changes_between(kept, 3, 4).count() == 20 and as_of(kept, ["k"], version=4).agg({"v": "min"}).first()[0] == 40
+
+
+def test_archived_files_are_not_listed_again(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")  # in the stream's own thread
+    try:
+        landing, left = tmp_path / "landing", []
+        for k in range(3):
+            write_lines(landing / f"day{k}" / "a.json", [{"id": k}])
+            stream = stream_json(spark, str(landing), "id long", ["id"], archive=str(tmp_path / "archive"))
+            run_once(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+            left.append(sorted(p.parent.name for p in landing.rglob("*.json")))
+        assert all(len(names) <= 2 for names in left) and "day0" not in left[-1]
+        assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSource.cleaner.numThreads")
