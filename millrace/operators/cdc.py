@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import _orderable, latest_per_key
-from millrace.operators.skew import HOT_SHARE, next_in_key
+from millrace.operators.skew import HOT_ROWS, next_in_key
 
 # Columns the source database adds to a captured row.
 CAPTURE_COLUMNS = (
@@ -105,7 +105,7 @@ def scd2(
     order: str = GLOBAL_ORDER,
     deletes: Column | str = IS_DELETE,
     exclude: Sequence[str] = (*DECODED_COLUMNS, GLOBAL_ORDER),
-    hot_share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every version of each key with the interval [valid_from, valid_to) it held.
 
@@ -113,11 +113,11 @@ def scd2(
     new one. Changes that share their sequence key follow one another in the order of
     their other columns, as they do for SCD type 1, so all but the last hold an empty
     interval. A change delivered twice is equal in every column and counts once. Keys
-    with more than ``hot_share`` of all changes are worked on in pieces (see ``skew``).
+    with more than ``hot_rows`` changes are worked on in pieces (see ``skew``).
     """
     rest = [f.name for f in changes.schema.fields if f.name not in (*keys, order) and _orderable(f.dataType)]
     placed = changes.withColumn("__place", F.struct(order, *rest))
-    timed = next_in_key(placed, keys, "__place", "__next", hot_share)
+    timed = next_in_key(placed, keys, "__place", "__next", hot_rows)
     held = timed.where(F.col("__next").isNull() | (F.col("__next") != F.col("__place")))
     bounds = [F.col(order).alias("valid_from"), F.col("__next").getField(order).alias("valid_to")]
     kept = [c for c in changes.columns if c not in exclude]

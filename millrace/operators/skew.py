@@ -13,25 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot if it holds more than this share of the rows. So there are never more than
-# 1/HOT_SHARE hot keys, and the rows of one ordinary key are a fixed part of the whole.
-HOT_SHARE = 1 / 4096
+from millrace.sinks.tables import stored
 
+# A key is hot if it has more rows than this: what one task sorts for a window without harm.
+HOT_ROWS = 1_000_000
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: from one count of the rows by key."""
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``rows`` rows, from one count by key; never more than all rows / ``rows``."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows").alias("__total")).scalar()  # over the same, reused, shuffle
-    return counts.where(F.col("__rows") > total * F.lit(share)).select(*keys)
+    return counts.where(F.col("__rows") > F.lit(rows)).select(*keys)
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); together they are ``df``.
+def split_by(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of the keys in ``hot``); together they are ``df``.
 
-    The list of hot keys is broadcast: it has at most 1/``share`` rows by construction.
+    Give ``hot`` stored: Spark then knows its size and broadcasts it where it is small.
     """
-    hot = hot_keys(df, keys, share)
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)]))
+    hot = hot.select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)])
     same = [df[k].eqNullSafe(hot[f"__hot_{i}"]) for i, k in enumerate(keys)]
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
@@ -41,19 +40,23 @@ def next_in_key(
     keys: Sequence[str],
     order: str,
     name: str,
-    share: float = HOT_SHARE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``name``: the ``order`` of the following row of the same key, NULL at the end.
 
     ``order`` should be unique in a key; among rows that tie in it, which follows which is open.
 
-    Ordinary keys use ``lead``. Hot keys are range-partitioned by (key, order), so that
-    one key spreads over many tasks; ``lead`` runs inside each piece, and a second
-    ``lead`` over only the first and last row of every piece closes the seams. The
+    Rows are counted by key first, in a job of its own that reads the keys alone. Where no key
+    is hot, that is all: one scan, one shuffle and ``lead``. Hot keys are range-partitioned by
+    (key, order), so that one key spreads over many tasks; ``lead`` runs inside each piece, and
+    a second ``lead`` over only the first and last row of every piece closes the seams. The
     answer does not depend on where the pieces were cut.
     """
-    cold, hot = split_hot(df, keys, share)
     plain = Window.partitionBy(*keys).orderBy(order)
+    large = stored(hot_keys(df, keys, hot_rows), "hot-keys")
+    if large.isEmpty():
+        return df.withColumn(name, F.lead(order).over(plain))
+    cold, hot = split_by(df, keys, large)
     cold = cold.withColumn(name, F.lead(order).over(plain))
 
     piece = Window.partitionBy("__piece", *keys).orderBy(order)

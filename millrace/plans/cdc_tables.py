@@ -7,9 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import StructType
-
-from millrace.operators.cdc import decode_changes, live_rows, scd1_state, scd2, scd2_refresh
+from pyspark.sql.types import StructField, StructType
+
+from millrace.operators.cdc import (
+    DECODED_COLUMNS,
+    GLOBAL_ORDER,
+    decode_changes,
+    live_rows,
+    scd1_state,
+    scd2,
+    scd2_refresh,
+)
 from millrace.sinks.buckets import BUCKET, BucketedTable, bucket_of, numbers
 from millrace.sources.files import read_if_present
 from millrace.sources.schema_store import SchemaStore
@@ -134,7 +142,9 @@ class CdcTables:
         return decode_changes(self.spark.createDataFrame([], self.schema)).schema
 
     def _second_schema(self) -> StructType:
-        return scd2(self.spark.createDataFrame([], self._table_schema()), self.spec.keys).schema
+        known = self._table_schema()
+        bounds = [StructField(name, known[GLOBAL_ORDER].dataType) for name in ("valid_from", "valid_to")]
+        return StructType([f for f in known if f.name not in (*DECODED_COLUMNS, GLOBAL_ORDER)] + bounds)
 
     def _history(self) -> DataFrame:
         schema = StructType([*self._table_schema()]).add(LOAD, "integer").add(BUCKET, "integer")

@@ -40,8 +40,8 @@ def test_golden(spark, seed):
     first = cdc.scd1(decoded, KEYS)
     assert scd1_set(first) == SCD1 and first.count() == 6
     assert first.columns == ["Id", "Plan", "Score"]
-    for share in (1, 0):
-        second = cdc.scd2(decoded, KEYS, hot_share=share)
+    for limit in (1000, 0):
+        second = cdc.scd2(decoded, KEYS, hot_rows=limit)
         assert scd2_set(second) == SCD2 and second.count() == 12
 
 

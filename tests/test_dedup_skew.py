@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import first_per_key, latest_per_key, top_n_per_group
-from millrace.operators.skew import hot_keys, next_in_key, split_hot
+from millrace.operators.skew import hot_keys, next_in_key, split_by
 
 
 def test_latest_and_first(spark):
@@ -82,22 +82,22 @@ def expected_next(data):
 
 def test_hot_split_is_a_partition(spark):
     df, data = skewed(spark)
-    hot = {r["k"] for r in hot_keys(df, ["k"], 1 / 30).collect()}
-    assert hot == {1, None}
-    cold_rows, hot_rows = split_hot(df, ["k"], 1 / 30)
+    hot = hot_keys(df, ["k"], len(data) // 30)
+    assert {r["k"] for r in hot.collect()} == {1, None}
+    cold_rows, hot_rows = split_by(df, ["k"], hot)
     assert cold_rows.count() + hot_rows.count() == len(data)
     assert {r["k"] for r in hot_rows.distinct().collect()} >= {1, None}
 
 
 def test_hot_keys_are_bounded(spark):
-    df, _ = skewed(spark)
-    assert hot_keys(df, ["k"], 1 / 4).count() <= 4
+    df, data = skewed(spark)
+    assert hot_keys(df, ["k"], len(data) // 4).count() < 4
 
 
-@pytest.mark.parametrize("share", [1, 1 / 30, 0])
-def test_next_in_key(spark, share):
+@pytest.mark.parametrize("parts", [1, 30, 10**9])
+def test_next_in_key(spark, parts):
     df, data = skewed(spark)
-    got = next_in_key(df, ["k"], "o", "n", share).collect()
+    got = next_in_key(df, ["k"], "o", "n", len(data) // parts).collect()
     assert {(r["k"], r["o"]): r["n"] for r in got} == expected_next(data)
     assert len(got) == len(data)
 
@@ -108,3 +108,11 @@ def test_next_in_key_in_pieces_is_exact(spark, data):
     df = spark.createDataFrame(data, "k int, o int")
     got = next_in_key(df, ["k"], "o", "n", 0).collect()
     assert {(r["k"], r["o"]): r["n"] for r in got} == expected_next(data)
+
+
+def test_without_hot_keys_the_rows_are_read_and_shuffled_once(spark, tmp_path):
+    skewed(spark)[0].write.parquet(str(tmp_path / "rows"))
+    found = next_in_key(spark.read.parquet(str(tmp_path / "rows")), ["k"], "o", "n")
+    plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
