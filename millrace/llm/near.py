@@ -2,8 +2,9 @@
 
 A document is the set of its distinct word shingles. Each shingle's hash falls into one of
 ``REGISTERS`` buckets, and a bucket keeps of its smallest hash the count of leading zeros and the
-``MANTISSA`` bits after them: 16 bits in all. Documents with equal sets form a class. For the
-bands registers are folded in twos, which is what half as many buckets would hold, and an empty
+``MANTISSA`` bits after them: 16 bits in all. Documents with equal sets form a class. A sketch
+has the registers of ``SEEDS``, independent hashes, which all count for the estimate. For the
+bands the first one's registers are folded in twos, which is what half as many buckets would hold, and an empty
 one takes the value of another, chosen by a fixed sequence of its own, so that registers of small
 sets agree as often as those of large ones. Classes that agree in one of ``BANDS`` bands are
 candidates. Two sets of similarity 0.8 share no band of 32 with a probability of 5e-8.
@@ -42,6 +43,7 @@ from millrace.llm.shared_files import discard, stored
 from millrace.session import scratch_path
 
 REGISTERS = 256
+SEEDS = (0x1F3D5B79, 0x6C8E9CF5)
 MANTISSA = 10
 FOLD = 2
 BAND = 4
@@ -80,9 +82,9 @@ def _sums(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def registers(shingle: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+def registers(shingle: np.ndarray, doc: np.ndarray, n: int, seed: int = SEEDS[0]) -> np.ndarray:
     """The registers of n sets: 0 if empty, else leading zeros and mantissa of the least hash."""
-    value = mix(shingle + np.uint64(0x1F3D5B79))
+    value = mix(shingle + np.uint64(seed))
     empty = np.uint64(2**64 - 1)
     least = np.full(n * REGISTERS, empty, np.uint64)
     np.minimum.at(least, doc * REGISTERS + (value >> np.uint64(_VALUE_BITS)).astype(np.int64), value & np.uint64(2**_VALUE_BITS - 1))
@@ -126,7 +128,7 @@ def filled(values: np.ndarray) -> np.ndarray:
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     """A hash of each band of every row of registers, with the band's number in it."""
-    part = filled(folded(values)).astype(np.uint64).reshape(len(values), BANDS, BAND)
+    part = filled(folded(values[:, :REGISTERS])).astype(np.uint64).reshape(len(values), BANDS, BAND)
     key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(values), 1))
     for c in range(BAND):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + part[:, :, c])
@@ -158,11 +160,9 @@ def _sketch(docs: DataFrame, size: int) -> DataFrame:
                 shingle, doc = shingle_sets(column.slice(a, n), size)
                 count = np.bincount(doc, minlength=n).astype(np.int64)
                 name = np.stack([_sums(mix(shingle + np.uint64(k)), doc, n) for k in (11, 12)], axis=1)
-                rows = [
-                    batch.column(0).slice(a, n), pa.array(count),
-                    pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, pa.py_buffer(name.tobytes())]).cast(pa.binary()),
-                    pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * REGISTERS), n, [None, pa.py_buffer(registers(shingle, doc, n).tobytes())]).cast(pa.binary()),
-                ]
+                values = np.concatenate([registers(shingle, doc, n, seed) for seed in SEEDS], axis=1)
+                fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.shape[1] * x.itemsize), n, [None, pa.py_buffer(x.tobytes())]).cast(pa.binary())
+                rows = [batch.column(0).slice(a, n), pa.array(count), fixed(name), fixed(values)]
                 yield pa.RecordBatch.from_arrays(rows, ["key", "n", "cid", "registers"])
 
     kind = docs.schema["key"].dataType.simpleString()
@@ -170,7 +170,7 @@ def _sketch(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, len(SEEDS) * REGISTERS)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -316,7 +316,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
             x, y = x[first], y[first]
             guess, used = similarity(values[x], values[y])
             either = (n[x] + n[y]) / (1 + share)  # of two sets that are just similar enough
-            left = np.clip(1 - used / either, 0, 1)  # registers are drawn without replacement
+            left = np.clip(1 - used / len(SEEDS) / either, 0, 1)  # registers are drawn without replacement
             margin = SIGMAS * np.sqrt(share * (1 - share) * left / np.maximum(used, 1)) + 2 / np.maximum(used, 1)
             keep = guess >= share - margin
             if keep.any():
