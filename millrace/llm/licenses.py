@@ -192,13 +192,57 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
     return runs.withColumn("paragraph", F.regexp_replace("paragraph", "^\n", "")).where(F.col("paragraph").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def _held(pairs: Column) -> Column:
-    """For each family the share of the best statement's bigrams that ``pairs`` holds."""
-    best = []
-    for every in STATEMENTS.values():
-        known = F.array(*[F.array(*map(F.lit, _pairs(_words(s)))) for s in every])
-        best.append(F.array_max(F.transform(known, lambda s: F.size(F.array_intersect(s, pairs)) / F.size(s))))
-    return F.array(*best)
+def _known(spark: SparkSession) -> DataFrame:
+    """(pair, family, statement, parts): the word bigrams of the statements, and of how many each is one."""
+    rows, number = [], 0
+    for family, every in enumerate(STATEMENTS.values()):
+        for pairs in (_pairs(_words(s)) for s in every):
+            rows += [(p, family, number, len(pairs)) for p in pairs]
+            number += 1
+    return F.broadcast(spark.createDataFrame(rows, "pair string, family int, statement int, parts int"))
+
+
+def _shares(hits: DataFrame, by: list[str], name: str) -> DataFrame:
+    """For each family the share of the best statement's bigrams among ``hits`` of each ``by``, as an array."""
+    held = hits.groupBy(*by, "family", "statement", "parts").agg(F.count_distinct("pair").alias("n")).withColumn("share", F.col("n") / F.col("parts"))
+    each = [F.coalesce(F.max(F.when(F.col("family") == k, F.col("share"))), F.lit(0.0)) for k in range(len(STATEMENTS))]
+    return held.groupBy(*by).agg(F.array(*each).alias(name))
+
+
+def _compared(found: DataFrame, confirm: float) -> DataFrame:
+    """``found`` with words, said (its lines as words), whole (the shares of the paragraph) and the
+    windows that hold enough of a statement.
+
+    Words are taken once and stored. Only bigrams of statements go on, each to the two windows of
+    every size it lies in, so the work is linear in the text.
+    """
+    spark = found.sparkSession
+    said = F.transform(F.split("paragraph", "\n"), lambda line: F.concat_ws(" ", word_list(line)))
+    base = found.select("key", "place", "paragraph", word_list(F.col("paragraph")).alias("words"), said.alias("said"))
+    base = stored(base.withColumn("unit", F.monotonically_increasing_id()), "license-words")
+    n = F.size("words")
+    after = F.slice("words", 2, F.greatest(n - 1, F.lit(0)))
+    pairs = F.zip_with(F.slice("words", 1, F.size(after)), after, lambda a, b: F.concat(a, F.lit(" "), b))
+    hits = base.select("unit", n.alias("n"), F.posexplode(pairs).alias("at", "pair")).join(_known(spark), "pair")
+    hits = stored(hits.withColumn("at", F.col("at") + 1), "license-hits")
+
+    def starts(size: int) -> Column:
+        """Of the windows that start every half ``size`` words, those that hold the bigram at ``at``."""
+        half = size // 2
+        low = F.greatest(F.ceil((F.col("at") - size + 1) / half).cast("int"), F.lit(0))
+        high = F.least(F.floor((F.col("at") - 1) / half).cast("int"), F.floor((F.greatest(F.col("n") - half, F.lit(1)) - 1) / half).cast("int"))
+        every = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+        return F.transform(every, lambda k: F.struct(F.lit(size).alias("size"), (k * half + 1).alias("start")))
+
+    windows = hits.withColumn("window", F.explode(F.concat(*[starts(size) for size in WINDOWS]))).select("unit", "window.*", "pair", "family", "statement", "parts")
+    windows = _shares(windows, ["unit", "size", "start"], "held").where(F.array_max("held") >= confirm)
+    windows = windows.groupBy("unit").agg(F.collect_list(F.struct("start", "size", "held")).alias("near"))
+    none = F.array_repeat(F.lit(0.0), len(STATEMENTS))
+    out = base.join(_shares(hits, ["unit"], "whole"), "unit", "left").join(windows, "unit", "left")
+    out = out.withColumn("whole", F.coalesce("whole", none)).withColumn(
+        "windows", F.transform("near", lambda w: F.struct(w["start"].alias("at"), F.slice("words", w["start"], w["size"]).alias("words"), w["held"].alias("held")))
+    )
+    return stored(out.drop("near", "unit"), "license-windows")
 
 
 def _trimmed(words: Column, family: str) -> Column:
@@ -216,22 +260,7 @@ def _units(found: DataFrame, confirm: float) -> DataFrame:
     """A row for each family found in a paragraph by comparison, or one with claim null: claim,
     similarity and words, those of its window or name, or of the whole paragraph."""
     families = F.array(*map(F.lit, STATEMENTS))
-    every = F.array(*map(F.lit, sorted({p for all_ in STATEMENTS.values() for s in all_ for p in _pairs(_words(s))})))
-    found = found.withColumn("line_words", F.transform(F.split("paragraph", "\n"), word_list)).withColumn("words", F.flatten("line_words"))
-    found = found.withColumn("whole", _held(F.array_intersect(bigrams(F.col("words")), every)))
-
-    # a window holds no more of a statement than the paragraph does
-    n = F.size("words")
-    window = lambda size: F.transform(
-        F.sequence(F.lit(1), F.greatest(n - size // 2, F.lit(1)), F.lit(size // 2)),
-        lambda at: F.struct(at.alias("at"), F.slice(F.col("words"), at, size).alias("words")),
-    )
-    windows = F.transform(
-        F.concat(*[window(size) for size in WINDOWS]),
-        lambda w: F.struct(w["at"].alias("at"), w["words"].alias("words"), _held(bigrams(w["words"])).alias("held")),
-    )
-    found = found.withColumn("windows", F.when(F.array_max("whole") >= confirm, windows))
-    found = found.withColumn("windows", F.filter("windows", lambda w: F.array_max(w["held"]) >= confirm))
+    found = _compared(found, confirm)
     top = lambda k: F.array_max(
         F.transform(
             F.filter("windows", lambda w: w["held"][k] >= confirm),
@@ -245,15 +274,14 @@ def _units(found: DataFrame, confirm: float) -> DataFrame:
         )[0]
 
     found = found.withColumn("claims", F.array(*[claim(k, f) for k, f in enumerate(STATEMENTS)]))
-    found = found.withColumn("claims", F.filter("claims", lambda c: c["similarity"].isNotNull()))
+    found = stored(found.withColumn("claims", F.filter("claims", lambda c: c["similarity"].isNotNull())), "license-claims")
     over = lambda c, w: (w["at"] < c["at"] - c["less"]) & (c["at"] < w["at"] + F.size(w["words"]))
     more = lambda c, w: F.exists(F.arrays_zip(families.alias("family"), w["held"].alias("held")), lambda h: (h["family"] != c["claim"]) & (h["held"] > c["similarity"]))
     claims = F.filter("claims", lambda c: ~F.exists("windows", lambda w: over(c, w) & more(c, w)))
-    said = F.transform("line_words", lambda w: F.concat_ws(" ", w))
     names = []
     for family, all_ in NAMES.items():
         own = F.array(*map(F.lit, sorted({" ".join(_words(s)) for s in all_})))
-        at = F.array_min(F.array_intersect(said, own))
+        at = F.array_min(F.array_intersect("said", own))
         names.append(F.when(at.isNotNull(), F.struct(F.lit(family).alias("claim"), F.lit(1.0).alias("similarity"), F.split(at, " ").alias("words"), F.lit(True).alias("name"))))
     named = F.filter(F.array(*names), lambda c: c.isNotNull())
     claims = F.transform(F.coalesce(claims, F.array()), lambda c: F.struct(c["claim"].alias("claim"), c["similarity"].alias("similarity"), c["words"].alias("words"), F.lit(False).alias("name")))
