@@ -9,10 +9,7 @@ from millrace.functions.columns import composite_key, epoch_to_text, with_row_ha
 from millrace.operators.dedup import latest_per_key
 
 # Fixed value: the wire type of a sale's items.
-ITEMS_TYPE = (
-    "array<struct<id:string,size:string,notes:string,cost:double,"
-    "ingredients:array<string>>>"
-)
+ITEMS_TYPE = "array<struct<id:string,size:string,notes:string,cost:double,ingredients:array<string>>>"
 
 
 def rename_sales(raw: DataFrame) -> DataFrame:
