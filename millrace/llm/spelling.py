@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared_files import stored
+from millrace.llm.shared_files import discard, stored
+from millrace.session import scratch_path
 
 RUN = "[a-zÀ-ÿ]"
 LEAST_LENGTH, LEAST_COUNT, RATIO = 7, 2, 10
@@ -63,7 +64,7 @@ def _keyed(rows: DataFrame, parts: int, which) -> DataFrame:
     return rows.withColumn("group", F.xxhash64(F.lit(parts), "shorter", "part", rest)).select("shorter", "part", "group", "word", "n")
 
 
-def _groups(vocabulary: DataFrame) -> list[tuple[int, DataFrame]]:
+def _groups(vocabulary: DataFrame, home: str) -> list[tuple[int, DataFrame]]:
     """(parts, rows) of each cutting: words in groups of at most ``GROUP``, or of one letter's part."""
     longest = vocabulary.agg(F.max(F.char_length("word"))).first()[0] or 0
     length = F.char_length("word")
@@ -73,8 +74,8 @@ def _groups(vocabulary: DataFrame) -> list[tuple[int, DataFrame]]:
     while True:
         if parts >= longest:
             return [*out, (parts, rows)]
-        rows = stored(rows, "spelling-groups")
-        large = stored(rows.groupBy("shorter", "part", "group").count().where(F.col("count") > GROUP).drop("count"), "spelling-large")
+        rows = stored(rows, path=f"{home}/groups-{parts}")
+        large = stored(rows.groupBy("shorter", "part", "group").count().where(F.col("count") > GROUP).drop("count"), path=f"{home}/large-{parts}")
         if large.isEmpty():
             return [*out, (parts, rows)]
         key = ["shorter", "part", "group"]
@@ -205,10 +206,11 @@ def _near(rows: DataFrame, parts: int) -> DataFrame:
     return rows.mapInArrow(run, "word binary, n_near long, n long, near binary")
 
 
-def near_words(vocabulary: DataFrame) -> DataFrame:
-    """(word, n_near, form_n, form) of every word of (word, n) with near words; the form is the one of largest n."""
+def near_words(vocabulary: DataFrame, home: str) -> DataFrame:
+    """(word, n_near, form_n, form) of every word of (word, n) with near words; the form is the one of
+    largest n. Tables go to the folder ``home``, which the result reads."""
     found = None
-    for parts, rows in _groups(vocabulary):
+    for parts, rows in _groups(vocabulary, home):
         part = _near(rows, parts)
         found = part if found is None else found.unionByName(part)
     text = lambda c: F.rtrim(F.decode(c, "ISO-8859-1"), F.lit("\0")).alias(c)
@@ -233,12 +235,14 @@ def _roots(links: DataFrame) -> DataFrame:
 
 def spelling_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """word, form, root, n, n_near and form_n of every word of the texts."""
-    vocabulary = stored(word_counts(docs, key, text), "spelling-words")
-    near = vocabulary.join(near_words(vocabulary), "word", "left")
+    home = scratch_path(docs.sparkSession, "spelling-work")
+    vocabulary = stored(word_counts(docs, key, text), path=f"{home}/words")
+    near = vocabulary.join(near_words(vocabulary, home), "word", "left")
     large = F.col("form_n") >= RATIO * F.col("n")
     out = stored(
         near.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(large, F.col("form")).alias("form"), F.when(large, F.col("form_n")).alias("form_n")),
         "spelling-forms",
     )
+    discard(docs.sparkSession, home)
     roots = _roots(out.where("form IS NOT NULL"))
     return out.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
