@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -108,3 +109,23 @@ def leaks(docs: list[tuple], items: list[tuple]) -> set:
     """(key, item) where all of the item's terms stand in a row."""
     known = [(i, f" {' '.join(terms(t))} ") for i, t in items if terms(t)]
     return {(k, i) for k, t in docs for i, own in known if own in f" {' '.join(terms(t))} "}
+
+
+def bm25(docs: list[tuple], items: list[tuple], step: int, k1: float = 1.2, b: float = 0.75) -> dict:
+    """(key, item) -> the best share of the item's own score that a passage of 2 * step words gets,
+    for all that share a term; passages start every step words."""
+    own = {i: Counter(terms(t)) for i, t in items}
+    df = Counter(w for c in own.values() for w in c)
+    mean = sum(sum(c.values()) for c in own.values()) / len(items)
+    best: dict = defaultdict(float)
+    for k, text in docs:
+        said = terms(text)
+        for lo in range(0, max(len(said) - step, 1), step):
+            passage = set(said[lo : lo + 2 * step])
+            for i, c in own.items():
+                size = sum(c.values())
+                weight = {w: math.log(1 + (len(items) - df[w] + 0.5) / (df[w] + 0.5)) * n * (k1 + 1) / (n + k1 * (1 - b + b * size / mean)) for w, n in c.items()}
+                score = sum(v for w, v in weight.items() if w in passage) / sum(weight.values())
+                if score:
+                    best[k, i] = max(best[k, i], score)
+    return best

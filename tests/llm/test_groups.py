@@ -185,9 +185,9 @@ def test_archives_keep_payloads_and_roll_files(spark, tmp_path):
     assert archive_round_trip(rows.limit(0)).isEmpty()
 
 
-@pytest.mark.parametrize("postings", [decontaminate.INDEX_POSTINGS, 300])
-def test_leaks(spark, docs, odd, none, postings, monkeypatch):
-    monkeypatch.setattr(decontaminate, "INDEX_POSTINGS", postings)
+@pytest.mark.parametrize("size", [decontaminate.INDEX_BYTES, 12_000])
+def test_leaks(spark, docs, odd, none, size, monkeypatch):
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", size)
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     known, items = ([tuple(r) for r in t.select(k, "text").collect()] for t, k in ((docs, "doc_id"), (benchmark, "item_id")))
     got = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, benchmark).collect()}
@@ -197,6 +197,37 @@ def test_leaks(spark, docs, odd, none, postings, monkeypatch):
     assert find_leaks(none, benchmark).isEmpty() and find_leaks(docs, extra.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("step", [decontaminate.STEP, 50])
+def test_every_item_that_scores_enough_is_retrieved(spark, docs, step, monkeypatch):
+    """Against BM25 of every item in every passage, at thresholds that many reach."""
+    monkeypatch.setattr(decontaminate, "STEP", step)
+    rng = random.Random(5)
+    items = [(k, " ".join(f"w{int(300 * rng.random() ** 3)}" for _ in range(rng.randint(1, 40)))) for k in range(300)]
+    texts = [(k, " ".join(f"w{int(330 * rng.random() ** 3)}" for _ in range(rng.randint(0, 400)))) for k in range(25)]
+    texts += [(100, items[0][1]), (101, f"{texts[0][1]} {items[7][1]} {texts[1][1]}"), (102, "")]
+    found = find_leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), threshold=0.7, overlap=0.0)
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in found.collect()}
+    want = brute.bm25(texts, items, max(40, 32))
+    assert {k for k, v in want.items() if v >= 0.7 + 1e-3} <= got.keys() <= {k for k, v in want.items() if v >= 0.7 - 1e-3}
+    assert 100 < len(got) < len(want) / 2 and all(abs(want[k] - v) < 1e-4 for k, v in got.items())
+
+
+def test_index_grows_with_its_postings_alone(tmp_path):
+    """3,000 items over 30,000 terms: a table of them would take 360 MB."""
+    rng = np.random.default_rng(3)
+    terms = [np.unique(rng.integers(0, 30_000, 34)) for _ in range(3000)]
+    texts = [" ".join(f"t{t}" for t in own) for own in terms]
+    index = decontaminate.Index.build(list(range(3000)), texts, terms, [rng.random(len(t)) + 0.1 for t in terms])
+    n = sum(map(len, terms))
+    assert index.nbytes <= n * (decontaminate.POSTING_BYTES + decontaminate.WORD_BYTES + 8) + 3000 * 40
+    same = decontaminate.Index.load(index.save(str(tmp_path)))
+    at = np.searchsorted(index.terms, np.concatenate([terms[5], terms[2999]]).astype(np.uint64))
+    passage = np.repeat([0, 2], [len(terms[5]), len(terms[2999])])
+    for one in (index, same):
+        who, item, score = one.retrieve(passage, at, 3, 0.9)
+        assert [(w, int(one.items[i])) for w, i in zip(who, item)] == [(0, 5), (2, 2999)] and np.allclose(score, 1)
+
+
 def test_leaks_with_other_words_around_case_and_marks(spark):
     item = "What is the capital of the old river province? It is called Marvento since the great flood of the year 1804."
     texts = [
