@@ -4,8 +4,10 @@ The test items are indexed: a posting holds the BM25 weight of a term in an item
 the item's score for its own text, so that 1 means that all its terms are there. Every training
 text is cut into passages that overlap by half, at least twice as long as the longest item, so an
 item lies whole in one of them. A passage is a query of its distinct terms. Items are ordered
-and grouped into blocks within blocks; a block keeps each term's largest weight, and where the
-sum over the passage's terms stays below the threshold nothing in the block can reach it, so
+and grouped into blocks, and a block keeps each term's largest weight. An item's most frequent terms, up to half of
+the threshold, cannot bring it there alone: first only the lists of the other, rarer terms are added up,
+and a block goes on where they reach what some item in it lacks. Where the
+sum over all terms of the passage then stays below the threshold nothing in the block can reach it, so
 the block is skipped. What is left is scored exactly, and all items at or above the
 threshold are retrieved: there is no top k. Each is verified by the share of the word triples of
 its question, and of its answer, that the passage has.
@@ -44,10 +46,11 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.5
 GRAM = 3
-BLOCKS = (64, 8, 1)
+BLOCKS = (8, 1)
 INDEX_BYTES = 64 << 20  # of one index; more items are searched index by index
 POSTING_BYTES, WORD_BYTES = 36, 16  # at most: three levels of a key and a weight; a group of either part
 STEP = 1 << 21  # postings looked up at a time
+FREQUENT = 0.5  # of the threshold, that frequent terms may leave open
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +83,8 @@ class Index:
     """Items with their terms' normalised weights, and the block maxima of each level.
 
     ``levels`` holds, for each size of block, the ascending numbers term * blocks + block of the
-    blocks that hold a term, and the term's largest weight there.
+    blocks that hold a term, and the term's largest weight there; ``rare`` the same of the first size
+    without each item's frequent terms, and ``need`` what those leave open, the least in a block.
     """
 
     def __init__(self, arrays: dict[str, np.ndarray]):
@@ -89,27 +93,37 @@ class Index:
         self.longest = int(arrays["longest"])
         self.width = [-(-max(len(self.items), 1) // BLOCKS[0]) * BLOCKS[0] // size for size in BLOCKS]
         self.levels = [(arrays[f"at{k}"], arrays[f"top{k}"]) for k in range(len(BLOCKS))]
-        self.edge = np.searchsorted(self.levels[0][0], np.arange(len(self.terms) + 1) * self.width[0])
+        self.rare, self.need, self.least = (arrays["at"], arrays["top"]), arrays["need"], float(arrays["least"])
+        self.edge = np.searchsorted(self.rare[0], np.arange(len(self.terms) + 1) * self.width[0])
 
     @classmethod
-    def build(cls, numbers: list[int], texts: list[str], terms: list[np.ndarray], weights: list[np.ndarray]) -> Index:
-        """From each item's number, text, distinct terms and their BM25 weights."""
+    def build(cls, numbers: list[int], texts: list[str], terms: list[np.ndarray], weights: list[np.ndarray], threshold: float) -> Index:
+        """From each item's number, text, distinct terms and their BM25 weights, to be searched at ``threshold``."""
         # items that share their rarest term lie side by side, so blocks are alike inside
         rarest = [t[np.lexsort((t, w))[-1]] for t, w in zip(terms, weights)]
         order = np.lexsort((np.array(numbers, np.int64), np.array(rarest, np.int64)))
         count = np.array([len(terms[k]) for k in order], np.int64)
         term = np.concatenate([np.zeros(0, np.int64), *(terms[k] for k in order)]).view(np.uint64)
         weight = np.concatenate([np.zeros(0), *(weights[k] / np.sort(weights[k]).sum() for k in order)]).astype(np.float32)
-        known, at = np.unique(term, return_inverse=True)
+        known, at, df = np.unique(term, return_inverse=True, return_counts=True)
         item = np.repeat(np.arange(len(order)), count)
         arrays = {"terms": known, "items": np.array(numbers, np.int64)[order]}
         full = -(-max(len(order), 1) // BLOCKS[0]) * BLOCKS[0]
-        for k, size in enumerate(BLOCKS):
-            keys = at * (full // size) + item // size
+        by = np.lexsort((at, -df[at], item))
+        sums = np.cumsum(weight[by], dtype=np.float64)
+        sums -= np.repeat(np.append(0, sums)[np.cumsum(count) - count], count)
+        rare = np.zeros(len(at), bool)
+        rare[by] = sums > threshold * FREQUENT
+        least = threshold - 1e-4  # weights are of single precision
+        need = np.full(full, np.inf)
+        need[: len(order)] = least - 1e-4 - np.bincount(item, np.where(rare, 0, weight), len(order))
+        arrays |= {"need": need.reshape(-1, BLOCKS[0]).min(axis=1), "least": np.array(least)}
+        for name, size, own in (("", BLOCKS[0], rare), *((k, size, slice(None)) for k, size in enumerate(BLOCKS))):
+            keys, top = at[own] * (full // size) + item[own] // size, weight[own]
             by = np.argsort(keys, kind="stable")
             first = np.flatnonzero(np.diff(keys[by], prepend=-1))
-            arrays[f"at{k}"] = keys[by][first]
-            arrays[f"top{k}"] = np.maximum.reduceat(weight[by], first) if len(first) else weight
+            arrays[f"at{name}"] = keys[by][first]
+            arrays[f"top{name}"] = np.maximum.reduceat(top[by], first) if len(first) else top
         parts = [cls._parts(texts[k]) for k in order]
         grams = [g for question, answer, _ in parts for g in (question[1], answer[1])]
         arrays["grams"] = np.concatenate([np.zeros(0, np.uint64), *grams])
@@ -155,10 +169,10 @@ class Index:
     def parts(self, item: int) -> list[tuple[int, np.ndarray]]:
         return [(int(self.sizes[k]), self.grams[self.edges[k] : self.edges[k + 1]]) for k in (2 * item, 2 * item + 1)]
 
-    def _blocks(self, passage: np.ndarray, term: np.ndarray, count: int, least: float) -> tuple[np.ndarray, ...]:
-        """(passage, block) of the first level whose bound is at least ``least``: adds up the blocks
+    def _blocks(self, passage: np.ndarray, term: np.ndarray, count: int) -> tuple[np.ndarray, ...]:
+        """(passage, block) where rare terms reach what is needed: adds up the blocks
         that the terms' lists name, ``STEP`` of them at a time, or those of one passage."""
-        (at, top), width = self.levels[0], self.width[0]
+        (at, top), width = self.rare, self.width[0]
         held = self.edge[term + 1] - self.edge[term]
         total = np.bincount(passage, held, count).astype(np.int64)
         step = np.cumsum(np.maximum(total, width)) // STEP
@@ -170,8 +184,8 @@ class Index:
             where = np.arange(int(n.sum())) + np.repeat(self.edge[term[a:b]] - (np.cumsum(n) - n), n)
             key = np.repeat((passage[a:b] - lo) * width, n) + at[where] - np.repeat(term[a:b] * width, n)
             score = np.bincount(key, top[where], (hi - lo) * width)
-            found = np.flatnonzero(score >= least)
-            out.append((lo + found // width, found % width))
+            found = np.nonzero(score.reshape(hi - lo, width) >= self.need)
+            out.append((lo + found[0], found[1]))
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def _lookup(self, level: int, key: np.ndarray) -> np.ndarray:
@@ -179,15 +193,15 @@ class Index:
         where = np.minimum(np.searchsorted(at, key), len(at) - 1)
         return np.where(at[where] == key, top[where], 0)
 
-    def retrieve(self, passage: np.ndarray, term: np.ndarray, count: int, threshold: float) -> tuple[np.ndarray, ...]:
+    def retrieve(self, passage: np.ndarray, term: np.ndarray, count: int) -> tuple[np.ndarray, ...]:
         """(passage, item, score) at or above the threshold; ``passage`` ascends and has each term once."""
-        least = threshold - 1e-4  # weights are of single precision
         first = np.searchsorted(passage, np.arange(count + 1))
         size = np.diff(first)
-        who, block = self._blocks(passage, term, count, least)
-        for k in range(1, len(BLOCKS)):
-            ratio = BLOCKS[k - 1] // BLOCKS[k]
-            who, block = np.repeat(who, ratio), np.repeat(block * ratio, ratio) + np.tile(np.arange(ratio), len(block))
+        who, block = self._blocks(passage, term, count)
+        for k, width in enumerate(self.width):
+            if k:
+                ratio = BLOCKS[k - 1] // BLOCKS[k]
+                who, block = np.repeat(who, ratio), np.repeat(block * ratio, ratio) + np.tile(np.arange(ratio), len(block))
             step = np.cumsum(size[who]) // STEP  # bounds the memory of one step
             cuts = np.append(np.flatnonzero(np.diff(step, prepend=-1)), len(who))
             score = [np.zeros(0)]
@@ -196,9 +210,9 @@ class Index:
                 n = size[p]
                 begin = np.cumsum(n) - n
                 at = np.repeat(first[p] - begin, n) + np.arange(int(n.sum()))
-                score.append(np.add.reduceat(self._lookup(k, term[at] * self.width[k] + np.repeat(b, n)), begin))
+                score.append(np.add.reduceat(self._lookup(k, term[at] * width + np.repeat(b, n)), begin))
             score = np.concatenate(score)
-            keep = score >= least
+            keep = score >= self.least
             who, block, score = who[keep], block[keep], score[keep]
         return who, block, score
 
@@ -210,7 +224,7 @@ def _share(part: tuple[int, np.ndarray], term: np.ndarray) -> float:
     return float(np.isin(grams, windows(term, np.zeros(len(term), np.int64), size)[0]).mean())
 
 
-def _search(column: pa.Array, index: Index, threshold: float, overlap: float) -> list[tuple]:
+def _search(column: pa.Array, index: Index, overlap: float) -> list[tuple]:
     """(text, item, score, question share, answer share) of a slice, the best of each text and item."""
     term, doc, _, _ = _tokens(column)
     if not len(term) or not len(index.items):
@@ -228,7 +242,7 @@ def _search(column: pa.Array, index: Index, threshold: float, overlap: float) ->
         inside = (place - back >= 0) & (place - back <= last[doc[known]])
         pairs.append((base[doc[known]] + place - back)[inside] * len(index.terms) + at[known][inside])
     pairs = np.unique(np.concatenate(pairs))
-    passage, item, score = index.retrieve(pairs // len(index.terms), pairs % len(index.terms), int(base[-1] + last[-1] + 1), threshold)
+    passage, item, score = index.retrieve(pairs // len(index.terms), pairs % len(index.terms), int(base[-1] + last[-1] + 1))
     best = {}
     for p, i, s in zip(passage.tolist(), item.tolist(), score.tolist()):
         d = int(np.searchsorted(base, p, "right")) - 1
@@ -255,6 +269,8 @@ def find_leaks(
 
     Weights use the term counts of all items. The documents are scanned once for each index.
     """
+    if threshold < 0.01:
+        raise ValueError("a threshold of at least 0.01 is needed: below it every item is a hit of every passage")
     spark = docs.sparkSession
     items = benchmark.select(F.monotonically_increasing_id().alias("number"), F.col(item).alias("item"), F.col(item_text).cast("string").alias("text"))
     items = stored(items, "leak-items")
@@ -270,22 +286,22 @@ def find_leaks(
     parts = max(1, -(-(size["rows"] * POSTING_BYTES + size["words"] * WORD_BYTES) // INDEX_BYTES))
     dealt = items.join(own, "number").select(F.pmod(F.xxhash64("number"), F.lit(parts)).alias("part"), "number", "text", "term", "weight")
     home = scratch_path(spark, "leak-index")
-    paths = stored(dealt.groupBy("part").applyInArrow(_build(home), "path string"), "leak-indexes")
+    paths = stored(dealt.groupBy("part").applyInArrow(_build(home, threshold), "path string"), "leak-indexes")
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     schema = f"key {docs.schema[key].dataType.simpleString()}, number long, score double, question_overlap double, answer_overlap double"
     out = spark.createDataFrame([], schema)
     for row in sorted(paths.collect()):  # one short path for each index
-        out = out.union(rows.mapInArrow(_scan(row["path"], threshold, overlap), schema))
+        out = out.union(rows.mapInArrow(_scan(row["path"], overlap), schema))
     out = out.join(items.select("number", "item"), "number")
     return out.select(F.col("key").alias(key), F.col("item").alias(item), "score", "question_overlap", "answer_overlap")
 
 
-def _build(home: str):
+def _build(home: str, threshold: float):
     def run(table: pa.Table) -> pa.Table:
         numbers, texts = table.column("number").to_pylist(), table.column("text").to_pylist()
         terms, weights = ([np.array(v.values) for v in table.column(c)] for c in ("term", "weight"))
         by = [np.argsort(t) for t in terms]
-        index = Index.build(numbers, texts, [t[k] for t, k in zip(terms, by)], [w[k] for w, k in zip(weights, by)])
+        index = Index.build(numbers, texts, [t[k] for t, k in zip(terms, by)], [w[k] for w, k in zip(weights, by)], threshold)
         return pa.table({"path": [index.save(home)]})
 
     return run
@@ -296,13 +312,13 @@ def _index(path: str) -> Index:
     return Index.load(path)
 
 
-def _scan(path: str, threshold: float, overlap: float):
+def _scan(path: str, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(path)
         for batch in batches:
             column = batch.column(1)
             for a, b in slices(utf8(column)[1]):
-                hits = _search(column.slice(a, b - a), index, threshold, overlap)
+                hits = _search(column.slice(a, b - a), index, overlap)
                 if hits:
                     d, i, *scores = zip(*hits)
                     arrays = [batch.column(0).take(pa.array([a + x for x in d])), pa.array(index.items[list(i)]), *(pa.array(x, pa.float64()) for x in scores)]

@@ -217,14 +217,14 @@ def test_index_grows_with_its_postings_alone(tmp_path):
     rng = np.random.default_rng(3)
     terms = [np.unique(rng.integers(0, 30_000, 34)) for _ in range(3000)]
     texts = [" ".join(f"t{t}" for t in own) for own in terms]
-    index = decontaminate.Index.build(list(range(3000)), texts, terms, [rng.random(len(t)) + 0.1 for t in terms])
+    index = decontaminate.Index.build(list(range(3000)), texts, terms, [rng.random(len(t)) + 0.1 for t in terms], 0.9)
     n = sum(map(len, terms))
     assert index.nbytes <= n * (decontaminate.POSTING_BYTES + decontaminate.WORD_BYTES + 8) + 3000 * 40
     same = decontaminate.Index.load(index.save(str(tmp_path)))
     at = np.searchsorted(index.terms, np.concatenate([terms[5], terms[2999]]).astype(np.uint64))
     passage = np.repeat([0, 2], [len(terms[5]), len(terms[2999])])
     for one in (index, same):
-        who, item, score = one.retrieve(passage, at, 3, 0.9)
+        who, item, score = one.retrieve(passage, at, 3)
         assert [(w, int(one.items[i])) for w, i in zip(who, item)] == [(0, 5), (2, 2999)] and np.allclose(score, 1)
 
 
