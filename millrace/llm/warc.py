@@ -6,27 +6,36 @@ that names in WARC-Refers-To the response that holds an equal payload. Records a
 of their own, as the format wants. Reading streams every archive, brings the records of a
 capture together through their concurrent-to identifiers, and emits one nested row per capture.
 
+Keys and URLs are written percent-encoded where they hold white space, control characters or a
+percent sign, so keys come back as they were, empty ones and line ends included.
+
 Defined results: a null payload is an empty one; a null URL leaves the field out; payloads below
-``min_revisit`` bytes are stored every time; of rows with one key and equal payloads one is the
-response; a null key sorts last. An archive of no rows has no file and reads as no rows.
+``min_revisit`` bytes are stored every time; of rows with one key and equal payloads that of the
+smallest URL (null last) is the response, of rows equal in all three any one, and every row is a
+capture of its own; a null key sorts last. Very long payloads are one record each and held one at a
+time. An archive of no rows has no file and reads as no rows. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.shared_files import open_for_read, open_for_write, stored
 from millrace.session import scratch_path
 
 FILE_BYTES = 64 << 20
+PIECE = 10_000  # equal rows that one task numbers at a time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORDS = "capture string, id string, kind string, refers_to string, uri string, payload_bytes long, payload_digest string, head string, body binary"
 
@@ -42,11 +51,17 @@ def record_id(kind: str, *parts) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, ' '.join(map(str, (kind, *parts))))}>"
 
 
-def _capture(row: int, key: str | None, url: str | None, payload: bytes, digest: str, kind: str, size: int, date: str) -> bytes:
-    """The records of one capture; ``kind`` is first, if others revisit it, again, or only."""
-    uri = None if url is None else url.replace("\r", "%0D").replace("\n", "%0A")
+def _field(value: str) -> str:
+    """``value`` for one line of a header: blanks, control characters and % as %XX of their UTF-8."""
+    return re.sub(r"[\s\x00-\x20\x7f-\x9f%]", lambda c: "".join(f"%{b:02X}" for b in c[0].encode()), value)
+
+
+def _capture(place: str, key: str | None, url: str | None, payload: bytes, digest: str, kind: str, size: int, date: str) -> bytes:
+    """The records of one capture; ``kind`` is first, if others revisit it, again, or only.
+    ``place`` tells the captures of one writing apart."""
+    uri = None if url is None else re.sub(r"[\s\x00-\x20\x7f-\x9f]", lambda c: _field(c[0]), url)
     first = record_id("payload", digest)  # so that those who revisit it know its name
-    own = first if kind == "first" else record_id("main", row, key, digest)
+    own = first if kind == "first" else record_id("main", place, digest)
     common = [("WARC-Date", date), ("WARC-Target-URI", uri)]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     main = [*common, ("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "application/http;msgtype=response")]
@@ -57,10 +72,22 @@ def _capture(row: int, key: str | None, url: str | None, payload: bytes, digest:
     tied = [*common, ("WARC-Concurrent-To", own)]
     request = f"GET {uri or '/'} HTTP/1.1\r\n\r\n".encode()
     out += _record("request", record_id("request", own), [*tied, ("Content-Type", "application/http;msgtype=request")], request)
-    about = "" if key is None else f"key: {key}\r\n"
+    about = "" if key is None else f"key: {_field(key)}\r\n"
     return out + _record("metadata", record_id("metadata", own), [*tied, ("Content-Type", "application/warc-fields")], about.encode())
 
 
+def marked(pages: DataFrame, key: str, url: str, payload: str, min_revisit: int) -> tuple[DataFrame, DataFrame]:
+    """digest, first (key, url and n, the number of rows equal to it) of every payload that several
+    captures have, stored; and key, url, body, digest, first and size of every row."""
+    body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
+    rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body.alias("body")).withColumn("digest", F.sha2("body", 256))
+    alike = rows.where(F.octet_length("body") >= min_revisit).groupBy("digest", "key", "url").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.isnull("key").alias("no_key"), "key", F.isnull("url").alias("no_url"), "url", "n")).alias("first")
+    firsts = alike.groupBy("digest").agg(first, F.sum("n").alias("copies")).where("copies > 1").select("digest", "first")
+    firsts = stored(firsts, "warc-firsts")
+    return firsts, rows.join(firsts, "digest", "left").withColumn("size", F.octet_length("body").cast("long"))
+
+
 def write_archives(
     pages: DataFrame,
     folder: str,
@@ -73,31 +100,37 @@ def write_archives(
 ) -> DataFrame:
     """Writes .warc.gz files of about ``file_bytes`` below ``folder``; one row per file.
 
-    Payloads are shuffled once, by digest; a digest with a third of all rows is split by the join,
-    as the small table of first captures is the side that is copied. Rows that share key and
-    payload are told apart by their place in the input, which a scan gives alike each time.
+    Payloads are shuffled once, by digest. Which capture of a digest is first is decided by content
+    alone (key, then URL) and stored, so a digest with a third of all rows is split by the join.
+    Rows equal in key, URL and payload to the first one are counted, and written from the count.
     """
-    body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body.alias("body")
-    ).withColumn("digest", F.sha2("body", 256))
-    alike = rows.where(F.octet_length("body") >= min_revisit).groupBy("digest", "key").agg(F.min("row").alias("row"), F.count("*").alias("n"))
-    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "row", "n")).alias("first")
-    firsts = alike.groupBy("digest").agg(first, F.sum("n").alias("copies")).where("copies > 1").select("digest", "first")
-    is_first = F.col("key").eqNullSafe(F.col("first.key")) & ((F.col("first.n") == 1) | (F.col("row") == F.col("first.row")))
-    kind = F.when(F.col("first").isNull(), "only").when(is_first, "first").otherwise("again")
-    plan = rows.join(firsts, "digest", "left").select(
-        "row", F.col("key").cast("string").alias("key"), "url", "digest", kind.alias("kind"), F.when(kind != "again", F.col("body")).alias("body"),
-        F.octet_length("body").alias("size"),
-    )
+    firsts, joined = marked(pages, key, url, payload, min_revisit)
+    own = F.col("key").eqNullSafe(F.col("first.key")) & F.col("url").eqNullSafe(F.col("first.url"))
+    out = ["key", "url", "digest", "kind", "body", "size"]
+    kind = F.when(F.col("first").isNull(), "only").when(own, "first").otherwise("again")
+    plan = joined.withColumn("kind", kind).withColumn("body", F.when(F.col("kind") != "again", F.col("body")))
+    if not firsts.where("first.n > 1").isEmpty():
+        # grouped by a struct, which the join's layout does not serve: equal rows are combined before they are shuffled
+        equal = joined.where(own & (F.col("first.n") > 1)).groupBy(F.struct("key", "url", "digest").alias("same"))
+        equal = equal.agg(F.first("body").alias("body"), F.count("*").alias("n"), F.first("size").alias("size"))
+        pieces = equal.select("same.*", "body", "n", "size")
+        pieces = pieces.withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(PIECE).cast("long"))))
+        pieces = pieces.withColumn("body", F.when(F.col("low") == 0, F.col("body"))).repartition("digest", "key", "url", "low")
+        copies = pieces.withColumn("copy", F.explode(F.sequence(F.col("low"), F.least(F.col("low") + PIECE, "n") - 1)))
+        copies = copies.withColumn("kind", F.when(F.col("copy") == 0, "first").otherwise("again"))
+        copies = copies.withColumn("body", F.when(F.col("copy") == 0, F.col("body")))
+        plan = plan.where("kind <> 'first' OR first.n = 1").select(out).unionByName(copies.select(out))
+    plan = plan.select(out).withColumn("key", F.col("key").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, out, size, count = None, None, 0, 0
+        path, out, size, count, row = None, None, 0, 0, 0
+        part = TaskContext.get().partitionId()
         for batch in batches:
             for r in batch.to_pylist():
+                row += 1
                 if out is None:
                     (path, out), size, count = open_for_write(folder, ".warc.gz"), 0, 0
-                data = _capture(r["row"], r["key"], r["url"], r["body"] or b"", r["digest"], r["kind"], r["size"], date)
+                data = _capture(f"{part} {row}", r["key"], r["url"], r["body"] or b"", r["digest"], r["kind"], r["size"], date)
                 out.write(data)
                 size, count = size + len(data), count + 1
                 if size >= file_bytes:
@@ -164,6 +197,14 @@ def read_records(files: DataFrame, payloads: bool = True) -> DataFrame:
     return spread.mapInArrow(run, _RECORDS)
 
 
+def noted_key(about: Column) -> Column:
+    """The key that a metadata record notes; null if it notes none."""
+    line = r"^key: ([^\r\n]*)"
+    value = F.regexp_extract(about, line, 1)
+    plain = F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))  # a plus sign is itself here
+    return F.when(about.rlike(line), F.coalesce(plain, value))
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: id, main (the response or revisit), requests, metadata, and
     original (id, key, payload length of the response that a revisit refers to).
@@ -178,8 +219,7 @@ def assemble(records: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("kind") == "request", F.struct("id", "head"))).alias("requests"),
         F.collect_list(F.when(F.col("kind") == "metadata", F.struct("id", "body"))).alias("metadata"),
     )
-    noted = F.regexp_extract(F.col("metadata")[0]["body"].cast("string"), r"^key: ([^\r\n]*)", 1)
-    rows = rows.where("main IS NOT NULL").withColumn("key", F.when(noted != "", noted))
+    rows = rows.where("main IS NOT NULL").withColumn("key", noted_key(F.col("metadata")[0]["body"].cast("string")))
     responses = rows.where("main.kind = 'response'").select(
         F.struct(F.col("main.id"), "key", F.col("main.payload_bytes"), F.col("main.payload_digest")).alias("original")
     )

@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import pytest
 
-from millrace.llm import decontaminate, near
+from millrace.llm import decontaminate, near, warc
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.graph import components
 from millrace.llm.licenses import STATEMENTS, UNKNOWN, scan_licenses
@@ -175,6 +175,48 @@ def test_archives_round_trip(spark):
     assert all(len(r["requests"]) == len(r["metadata"]) == 1 for r in out)
 
 
+def test_archives_give_odd_keys_back(spark):
+    keys = ["", " ", "k\r\nx: 1", "a%41+b c", "%", "é\u2028\x85", "\x00", "plain", None]
+    rows = spark.createDataFrame([(k, k, f"page {n}") for n, k in enumerate(keys)], "page_id string, url string, html string")
+    assert Counter(r["key"] for r in archive_round_trip(rows).collect()) == Counter(keys)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 25])
+def test_archives_choose_the_first_by_content(spark, copies, monkeypatch):
+    """Equal rows in any order and number: one response, and a capture for every row."""
+    monkeypatch.setattr(warc, "PIECE", 4)
+    long, other = "same " * 30, "else " * 30
+    known = [(3, "b", long), (3, None, long), (4, "a", long), (None, "a", long), (5, None, other), (6, "s", "short"), (6, "s", "short")]
+    known += [(3, "a", long)] * copies + [(None, "z", "none " * 30)] * copies
+    for seed in (1, 2):
+        rows = random.Random(seed).sample(known, len(known))
+        out = archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
+        responses = Counter((r["key"], r["main"]["uri"]) for r in out if r["main"]["kind"] == "response")
+        assert responses == Counter({("3", "a"): 1, ("5", None): 1, ("6", "s"): 2, (None, "z"): 1})
+        assert Counter(r["key"] for r in out) == Counter(None if k is None else str(k) for k, _, _ in known)
+        assert all(r["original"]["payload_bytes"] == 150 for r in out if r["main"]["kind"] == "revisit")
+
+
+def test_a_payload_of_most_rows_is_split(spark):
+    """The first captures are stored, so that the join may split a digest; the plan shows an exchange on either side."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(6000).selectExpr("id AS page_id", "sha2(string(-id), 512) AS url", "if(id % 3 = 0, repeat('hot ', 60), repeat(sha2(string(id), 256), 3)) AS html")
+        firsts, joined = warc.marked(rows.repartition(12), "page_id", "url", "html", 100)
+        shown = joined.selectExpr("count(*)", "count(first)", "sum(octet_length(url) + octet_length(body))")
+        assert tuple(shown.collect()[0]) [:2] == (6000, 2000) and firsts.count() == 1
+        assert "skew=true" in shown._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_archives_keep_payloads_and_roll_files(spark, tmp_path):
     rows = pages(spark)
     files = write_archives(rows, str(tmp_path), file_bytes=1000)
