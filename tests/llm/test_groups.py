@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import pytest
 
-from millrace.llm import decontaminate, near, warc
+from millrace.llm import decontaminate, licenses, near, warc
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.graph import components
 from millrace.llm.licenses import STATEMENTS, UNKNOWN, scan_licenses
@@ -146,6 +146,47 @@ def test_license_scan_of_wrapped_notices_and_names(spark):
     assert got == want, [(texts[k], f) for k, f in (got - want) + (want - got)]
 
 
+def plain_shares(paragraph: str) -> dict[str, float]:
+    """For each family the largest share of a statement's bigrams that a window or a name holds."""
+    words, best = licenses._words(paragraph), dict.fromkeys(STATEMENTS, 0.0)
+    spans = [words[k : k + size] for size in licenses.WINDOWS for k in range(0, max(len(words) - size // 2, 1), size // 2)]
+    for family, all_ in STATEMENTS.items():
+        for pairs in ({*licenses._pairs(licenses._words(x))} for x in all_):
+            best[family] = max([best[family], *(len(pairs & {*licenses._pairs(span)}) / len(pairs) for span in spans)])
+        names = {" ".join(licenses._words(x)) for x in licenses.NAMES[family]}
+        if names & {" ".join(licenses._words(line)) for line in paragraph.split("\n")}:
+            best[family] = 1.0
+    return best
+
+
+def test_license_scan_against_every_window(spark, docs):
+    """What stands is what templates confirm, with the similarity they give; statements with a word
+    changed, among words of their own, are found."""
+    rng = random.Random(3)
+    prose = [w for r in docs.collect() for w in (r["text"] or "").split()]
+    some = lambda n: " ".join(rng.choice(prose) for _ in range(n))
+    planted = []
+    for family, all_ in STATEMENTS.items():
+        for statement in all_:
+            words = statement.split()
+            if len(words) > 8:
+                words[rng.randrange(len(words))] = "altered"
+            planted.append((len(planted), f"{some(rng.randint(0, 60))} {' '.join(words)} {some(rng.randint(0, 60))}", family))
+    long = some(30_000)
+    texts = [(k, t) for k, t, _ in planted] + [(1000, f"{long} {STATEMENTS['GPL'][2]} {long}")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").unionByName(docs.selectExpr("doc_id + 5000 AS doc_id", "text"))
+    out = scan_licenses(rows).collect()
+    for r in out:
+        if len(r["paragraph"]) < 20_000:
+            shares = plain_shares(r["paragraph"])
+            assert r["family"] == UNKNOWN or (r["similarity"] <= shares[r["family"]] + 1e-9 and r["similarity"] >= 0.7)
+            assert r["family"] != UNKNOWN or r["similarity"] is None
+    got = {(r["doc_id"], r["family"]) for r in out if r["family"] != UNKNOWN}
+    sure = {(k, f) for k, t, f in planted if (shares := plain_shares(t))[f] >= 0.7 and shares[f] == max(shares.values())}
+    assert len(sure) > 30 and len(sure & got) >= 0.9 * len(sure) and (1000, "GPL") in got
+    assert not {(k, f) for k, f in got if k < 1000 and f != planted[k][2]}
+
+
 def pages(spark):
     tricky = "<p>" + "x" * 120 + "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n</p>"
     rows = [
