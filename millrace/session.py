@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,9 +45,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A path not used before, under the folder named by ``spark.checkpoint.dir``.
 
     Executors on other machines must see the folder. A session that names none gets one in
-    its warehouse, which executors share as well.
+    its warehouse, which executors share as well, unless that lies on a cluster's local disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local = "://" not in warehouse or warehouse.startswith("file:")
+        if local and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors share; {warehouse} is local")
+        root = f"{warehouse.rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from fixtures import stores, write_lines
 from pyspark.sql import DataFrame
@@ -276,3 +278,22 @@ def test_layout_jobs_keep_columns_and_partitioning(spark, tmp_path):
         got = spark.read.parquet(str(tmp_path / name))
         assert set(got.columns) == {"id", "late", "d"} and same(want, got.select(*want.columns))
         assert sorted(p.name for p in (tmp_path / name).iterdir() if p.is_dir()) == ["d=0", "d=1", "d=2"]
+
+
+@pytest.mark.parametrize(
+    ("settings", "place"),
+    [
+        ({"spark.checkpoint.dir": "/shared/c", "spark.master": "yarn"}, "/shared/c/millrace/x-"),
+        ({"spark.sql.warehouse.dir": "file:/w", "spark.master": "local[4]"}, "file:/w/_scratch/millrace/x-"),
+        ({"spark.sql.warehouse.dir": "hdfs://n/w", "spark.master": "yarn"}, "hdfs://n/w/_scratch/millrace/x-"),
+        ({"spark.sql.warehouse.dir": "file:/w", "spark.master": "spark://n:7077"}, None),
+        ({"spark.sql.warehouse.dir": "/w", "spark.master": "local-cluster[2,1,1024]"}, None),
+    ],
+)
+def test_scratch_is_where_all_executors_see_it(settings, place):
+    session = SimpleNamespace(conf=settings)
+    if place is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(session, "x")
+    else:
+        assert scratch_path(session, "x").startswith(place)
