@@ -178,17 +178,29 @@ FROM events
 
 
 def _grow(spark: SparkSession, sf: str, root: str) -> SchemaStore:
-    """Events land in three drops: keys of int, then long; values of int, then double; a late column."""
+    """Events land in three drops: keys of int, then long; values of int, then double; a late column.
+
+    Rows with a key or value beyond a drop's narrow types land in files of wide ones beside the others.
+    """
     store = SchemaStore(spark, f"{root}/landing", f"{root}/_schema")
     events = table(spark, sf, "events").withColumn("day", F.dayofmonth("ts"))
-    whole = F.floor("value").cast("int").alias("value")
+    # from 2**53 on a double is whole, and floor() would cut it to a long
+    whole = F.when(F.abs("value") < 2.0**53, F.floor("value").cast("double")).otherwise(F.col("value")).alias("value")
+    key = F.col("user_id").alias("mixed")
     drops = (
-        ("day <= 10", [F.col("event_id").cast("int"), F.col("user_id").cast("short"), whole, F.col("user_id").cast("int").alias("mixed")]),
-        ("day BETWEEN 11 AND 20", ["event_id", F.col("user_id").cast("int"), "event_type", whole, F.col("user_id").cast("int").alias("mixed")]),
-        ("day > 20", ["event_type", "event_id", "user_id", "value", F.col("event_type").alias("mixed")]),
+        ("day <= 10", ["event_id", "user_id", whole, key], {"event_id": "int", "user_id": "short", "value": "int", "mixed": "int"}),
+        ("day BETWEEN 11 AND 20", ["event_id", "user_id", "event_type", whole, key], {"user_id": "int", "value": "int", "mixed": "int"}),
+        ("day > 20", ["event_type", "event_id", "user_id", "value", F.col("event_type").alias("mixed")], {}),
     )
-    for condition, columns in drops:
-        events.where(condition).select(*columns).write.mode("append").parquet(f"{root}/landing")
+    for condition, columns, kinds in drops:
+        rows, fits = events.where(condition).select(*columns), F.lit(True)
+        for c, kind in kinds.items():
+            fits = fits & (F.col(c).isNull() | F.col(c).try_cast(kind).isNotNull())
+        narrow = {c: F.col(c).try_cast(kind) for c, kind in kinds.items()}
+        rows.where(fits).select(*[narrow.get(c, F.col(c)).alias(c) for c in rows.columns]).write.mode("append").parquet(f"{root}/landing")
+        wide = rows.where(~fits)
+        if kinds and not wide.isEmpty():
+            wide.write.mode("append").parquet(f"{root}/landing")
         store.refresh()
     return store
 

@@ -1,10 +1,13 @@
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 from fixtures import stores, write_lines
+from oracle import compare
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from millrace import scratch_path
 from millrace.operators import layout
 from millrace.sinks import tables as t
@@ -297,3 +300,20 @@ def test_scratch_is_where_all_executors_see_it(settings, place):
             scratch_path(session, "x")
     else:
         assert scratch_path(session, "x").startswith(place)
+
+
+@pytest.mark.parametrize("name", ["widened_column"])
+def test_keys_and_values_beyond_the_narrow_types_land_as_well(spark, tmp_path, name):
+    rows = [
+        (n, f"2024-01-{day:02d} 10:00:00", user, f"kind{n}", value)
+        for n, (day, user, value) in enumerate(
+            (day, user, value)
+            for day in (5, 15, 25)
+            for user, value in ((7, 1.5), (32768, -2.25), (-32769, 3.0), (2**31, 4.75), (8, 2.0**31), (9, 2.0**62), (None, 5.5), (10, None))
+        )
+    ]
+    events = spark.createDataFrame([*rows, (2**40, "2024-01-06 10:00:00", 11, "last", 6.5)], "event_id long, ts string, user_id long, event_type string, value double")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert compare(spark, con, str(tmp_path), name, queries(), oracle_sql()) is None
