@@ -302,7 +302,7 @@ def test_scratch_is_where_all_executors_see_it(settings, place):
         assert scratch_path(session, "x").startswith(place)
 
 
-@pytest.mark.parametrize("name", ["widened_column"])
+@pytest.mark.parametrize("name", ["widened_column", "widened_stream"])
 def test_keys_and_values_beyond_the_narrow_types_land_as_well(spark, tmp_path, name):
     rows = [
         (n, f"2024-01-{day:02d} 10:00:00", user, f"kind{n}", value)
