@@ -33,24 +33,31 @@ def country_sales(items: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
+def _by_sale(rows: DataFrame, parts: int | None) -> DataFrame:
+    return rows.repartition("sale_id") if parts is None else rows.repartition(parts, "sale_id")
+
+
 def country_monthly_sales(
-    items: DataFrame, sales: DataFrame, locations: DataFrame
+    items: DataFrame, sales: DataFrame, locations: DataFrame, parts: int | None = None
 ) -> DataFrame:
     """Total and number of sales per country and month.
 
     Items are laid out by sale once; the sum per sale and country, the join with the sales
     and the distinct count of sales all use that layout. Items shrink to one row per sale
-    and country before they meet the sales.
+    and country before they meet the sales. Give ``parts``, the number of tasks of that
+    layout, in proportion to the items, so that a task's memory stays the same; without it
+    Spark fills its partitions up to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
     place = locations.select(F.col("id").alias("store_id"), "country_code")
+    placed = items.join(place, "store_id").select("sale_id", "country_code", "product_cost")
     per_sale = (
-        items.join(place, "store_id")
-        .select("sale_id", "country_code", "product_cost")
-        .repartition("sale_id")
+        _by_sale(placed, parts)
         .groupBy("sale_id", "country_code")
         .agg(F.sum("product_cost").alias("cost"))
     )
     months = sales.select(F.col("id").alias("sale_id"), month_of("ts").alias("sales_month"))
+    if parts is not None:
+        months = _by_sale(months, parts)
     return (
         per_sale.join(months, "sale_id")
         .groupBy("sale_id", "country_code", "sales_month")

@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import classify, composite_key
 from millrace.operators import gold
 from millrace.operators.items import clean_sales, explode_items
+from millrace.operators.layout import files_for
 from millrace.registry.base import money, query, table
 from millrace.session import scratch_path
 from millrace.sinks.tables import save_table, stored
 
+# Fixed value: bytes of the line items' files for one task of a layout by sale, some 300,000 rows.
+TASK_BYTES = 4_194_304
+
+
+def _parts(spark: SparkSession, sf: str, least: int | None = None) -> int:
+    """Tasks for a layout by sale, in proportion to the line items' files."""
+    found = files_for(spark, f"{sf.rstrip('/')}/lineitem.parquet", TASK_BYTES)
+    return max(found, spark.sparkContext.defaultParallelism if least is None else least)
+
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
@@ -73,7 +83,7 @@ GROUP BY 1, 2
 """
 )
 def country_monthly_sales(spark: SparkSession, sf: str) -> DataFrame:
-    monthly = gold.country_monthly_sales(items(spark, sf), sales(spark, sf), locations(spark, sf))
+    monthly = gold.country_monthly_sales(items(spark, sf), sales(spark, sf), locations(spark, sf), _parts(spark, sf))
     return _named(monthly, spark, sf)
 
 

@@ -1,10 +1,17 @@
 import json
+import re
+from pathlib import Path
 
+import duckdb
+import pytest
 from fixtures import ITEMS
+from oracle import compare
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from millrace.operators import gold
 from millrace.operators.items import clean_sales, explode_items
+from millrace.registry import sales as registered
 
 RAW = (
     "SaleID string, ts long, exported_ts long, Location string, CustomerID int, "
@@ -109,3 +116,50 @@ def test_a_sale_sent_twice_counts_as_in_a_plain_join(spark):
 def test_stores_per_country_keeps_the_null_group(spark):
     df = spark.createDataFrame([("a", "AUS"), ("b", None), ("c", "AUS")], "id string, country_code string")
     assert {tuple(r) for r in gold.stores_per_country(df).collect()} == {("AUS", 2), (None, 1)}
+
+
+@pytest.fixture(scope="module")
+def orders_world(spark, tmp_path_factory):
+    """Tables of the registered queries: orders and line items of hashed keys, customers listed twice, null keys."""
+    root = tmp_path_factory.mktemp("orders_world")
+    tables = {
+        "nation": spark.range(5).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('nation', id) AS n_name"),
+        "supplier": spark.range(40).selectExpr("id AS s_suppkey", "CAST(id % 5 AS INT) AS s_nationkey"),
+        "customer": spark.range(90).selectExpr("id % 60 AS c_custkey", "IF(id = 7, NULL, concat('name', id % 45)) AS c_name"),
+        "orders": spark.range(2000).selectExpr(
+            "IF(id % 97 = 0, NULL, id % 1900) AS o_orderkey",
+            "IF(id % 3 = 0, 1, id % 70) AS o_custkey",
+            "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(CAST(id % 300 AS INT)) AS o_orderdate",
+            "IF(id % 5 = 0, '4-NOT SPECIFIED', '5-LOW') AS o_orderpriority",
+        ),
+        "lineitem": spark.range(9000).selectExpr(
+            "IF(id % 89 = 0, NULL, abs(xxhash64(id)) % 2000) AS l_orderkey",
+            "IF(id % 83 = 0, NULL, id % 43) AS l_suppkey",
+            "CAST(id % 1000 AS DOUBLE) / 4 AS l_extendedprice",
+        ),
+    }
+    con = duckdb.connect()
+    for name, rows in tables.items():
+        rows.coalesce(1).write.parquet(str(root / f"{name}.parquet"))
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{root}/{name}.parquet/*.parquet'")
+    return str(root), con
+
+
+def check_tasks_by_sale(spark, orders_world, monkeypatch, name, pattern):
+    """The query's rows, and its tasks by sale as the line items' files fill them."""
+    sf, con = orders_world
+    total = sum(p.stat().st_size for p in Path(sf, "lineitem.parquet").glob("*.parquet"))
+    monkeypatch.setattr(registered, "TASK_BYTES", total // 20, raising=False)
+    want = -(-total // (total // 20))
+    assert compare(spark, con, sf, name, queries(), oracle_sql()) is None
+    plan = queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    found = re.findall(pattern, plan)
+    assert len(found) == 2 and {int(n) for n in found} == {want}
+
+
+
+BY_SALE = r"hashpartitioning\(sale_id#\d+L?, (\d+)\), REPARTITION_BY_NUM"
+
+
+def test_months_by_country_are_dealt_by_the_items(spark, orders_world, monkeypatch):
+    check_tasks_by_sale(spark, orders_world, monkeypatch, "country_monthly_sales", BY_SALE)
