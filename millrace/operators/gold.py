@@ -70,30 +70,38 @@ def country_monthly_sales(
     )
 
 
-def customer_spend(items: DataFrame, sales: DataFrame, customers: DataFrame, laid_out: bool = False) -> DataFrame:
+def customer_spend(
+    items: DataFrame, sales: DataFrame, customers: DataFrame, laid_out: bool = False, parts: int | None = None
+) -> DataFrame:
     """Spend per store and known customer.
 
-    Items are laid out by sale once, for the sum per sale and the join with the sales;
-    say ``laid_out`` if both are tables in buckets of the sale, which are not shuffled at all.
-    Spend is summed to (store, customer) before the customer dimension is joined, so a
-    customer with a third of the sales reaches that join as a few rows.
+    Items are laid out by sale once, for the sum per sale and the join with the sales, in
+    ``parts`` tasks as in ``country_monthly_sales``; say ``laid_out`` if both are tables in
+    buckets of the sale, which are not shuffled at all. Spend is summed to (store, customer)
+    before the customer dimension is joined, so a customer with a third of the sales reaches
+    that join as a few rows. A customer listed n times under a name counts n times; the
+    dimension is counted, so that the spend is not grouped once more.
     """
     placed = items.select("sale_id", "store_id", "product_cost")
-    placed = placed if laid_out else placed.repartition("sale_id")
+    placed = placed if laid_out else _by_sale(placed, parts)
     per_sale = placed.groupBy("sale_id", "store_id").agg(F.sum("product_cost").alias("cost"))
     buyers = sales.where(F.col("unique_customer_id").isNotNull()).select(
         F.col("id").alias("sale_id"), "unique_customer_id"
     )
+    if parts is not None and not laid_out:
+        buyers = _by_sale(buyers, parts)
     spend = (
         per_sale.join(buyers, "sale_id")
         .groupBy("store_id", "unique_customer_id")
         .agg(F.sum("cost").alias("cost"))
     )
-    names = customers.select(F.col("unique_id").alias("unique_customer_id"), "name")
-    return (
-        spend.join(names, "unique_customer_id")
-        .groupBy("store_id", "unique_customer_id", "name")
-        .agg(F.sum("cost").alias("total_spend"))
+    names = (
+        customers.select(F.col("unique_id").alias("unique_customer_id"), "name")
+        .groupBy("unique_customer_id", "name")
+        .agg(F.count(F.lit(1)).alias("listed"))
+    )
+    return spend.join(names, "unique_customer_id").select(
+        "store_id", "unique_customer_id", "name", (F.col("cost") * F.col("listed")).alias("total_spend")
     )
 
 

@@ -112,7 +112,7 @@ GROUP BY 1, 2, 3
 
 @query(SPEND)
 def customer_spend(spark: SparkSession, sf: str) -> DataFrame:
-    spend = gold.customer_spend(items(spark, sf), sales(spark, sf), customers(spark, sf))
+    spend = gold.customer_spend(items(spark, sf), sales(spark, sf), customers(spark, sf), parts=_parts(spark, sf))
     return _double(spend, "total_spend")
 
 

@@ -163,3 +163,7 @@ BY_SALE = r"hashpartitioning\(sale_id#\d+L?, (\d+)\), REPARTITION_BY_NUM"
 
 def test_months_by_country_are_dealt_by_the_items(spark, orders_world, monkeypatch):
     check_tasks_by_sale(spark, orders_world, monkeypatch, "country_monthly_sales", BY_SALE)
+
+
+def test_spend_is_dealt_by_the_items(spark, orders_world, monkeypatch):
+    check_tasks_by_sale(spark, orders_world, monkeypatch, "customer_spend", BY_SALE)
