@@ -118,11 +118,15 @@ def customer_spend(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(SPEND)
 def bucketed_spend(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from items and sales saved in buckets of the sale, neither of which is shuffled."""
+    """The same from items and sales saved in buckets of the sale, neither of which is shuffled.
+
+    The buckets follow the bytes of the items, since a bucket is a task.
+    """
     root = scratch_path(spark, "bucketed_spend")
     name = f"spend_{root.rsplit('-', 1)[1]}"
+    buckets = _parts(spark, sf, 8)
     saved = [
-        save_table(df, f"{name}_{kind}", f"{root}/{kind}", bucket_by=([key], 8))
+        save_table(df, f"{name}_{kind}", f"{root}/{kind}", bucket_by=([key], buckets))
         for df, kind, key in ((items(spark, sf), "items", "sale_id"), (sales(spark, sf), "sales", "id"))
     ]
     return _double(gold.customer_spend(*saved, customers(spark, sf), laid_out=True), "total_spend")

@@ -157,6 +157,9 @@ def check_tasks_by_sale(spark, orders_world, monkeypatch, name, pattern):
     assert len(found) == 2 and {int(n) for n in found} == {want}
 
 
+def test_buckets_of_spend_follow_the_items(spark, orders_world, monkeypatch):
+    check_tasks_by_sale(spark, orders_world, monkeypatch, "bucketed_spend", r"SelectedBucketsCount: \d+ out of (\d+)")
+
 
 BY_SALE = r"hashpartitioning\(sale_id#\d+L?, (\d+)\), REPARTITION_BY_NUM"
 
