@@ -170,3 +170,14 @@ def test_months_by_country_are_dealt_by_the_items(spark, orders_world, monkeypat
 
 def test_spend_is_dealt_by_the_items(spark, orders_world, monkeypatch):
     check_tasks_by_sale(spark, orders_world, monkeypatch, "customer_spend", BY_SALE)
+
+
+def test_best_customers_are_dealt_by_the_items(spark, orders_world, monkeypatch):
+    plans = []
+    monkeypatch.setattr(registered, "stored", lambda df, label: plans.append(df) or df)
+    sf, con = orders_world
+    total = sum(p.stat().st_size for p in Path(sf, "lineitem.parquet").glob("*.parquet"))
+    monkeypatch.setattr(registered, "TASK_BYTES", total // 20, raising=False)
+    assert compare(spark, con, sf, "top3_customers_per_store", queries(), oracle_sql()) is None
+    found = re.findall(BY_SALE, plans[0]._jdf.queryExecution().executedPlan().toString())
+    assert len(found) == 2 and int(found[0]) >= 20
