@@ -2,13 +2,15 @@
 
 The store remembers which files it has taken in and the schema they had. A refresh lists the
 folder, reads only the footers of files not seen before (on the executors) and widens the kept schema
-by them. Files of one batch whose types disagree cannot be merged by Spark; the batch is then
-halved until each part agrees, so a conflict costs a few more jobs and not one per file.
+by them. Files whose types disagree cannot be merged by Spark, and trying costs a failed job. So a few
+new writes, known by the id that Spark gives the files of one, are merged each by itself; of many,
+or of files without an id, a batch is halved until each part agrees.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
@@ -38,6 +40,9 @@ from millrace.sources.files import file_inventory
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 # Decimal digits of the whole-number types.
 _DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20}
+# Writes that are merged each by itself; more are tried together first.
+_FEW = 8
+_WRITE = re.compile(r"part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$")
 
 
 def widen(a: DataType, b: DataType) -> DataType:
@@ -75,15 +80,30 @@ def merge_fields(schemas: Iterable[StructType]) -> StructType:
     return StructType(list(found.values()))
 
 
-def _schemas(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], StructType]]:
-    """Groups of files and the schema each group merges to."""
+def _schemas(spark: SparkSession, writes: list[list[str]]) -> list[tuple[list[str], StructType]]:
+    """Groups of files and the schema each group merges to; files of one write stay together."""
+    if 1 < len(writes) <= _FEW:
+        return [found for write in writes for found in _schemas(spark, [write])]
+    paths = [path for write in writes for path in write]
     try:
         return [(paths, spark.read.option("mergeSchema", True).parquet(*paths).schema)]
     except Py4JJavaError as error:  # Spark has no Python error for it
         if len(paths) == 1 or "[CANNOT_MERGE_SCHEMAS]" not in str(error.java_exception):
             raise
+    if len(writes) > 1:
+        half = len(writes) // 2
+        return _schemas(spark, writes[:half]) + _schemas(spark, writes[half:])
     half = len(paths) // 2
-    return _schemas(spark, paths[:half]) + _schemas(spark, paths[half:])
+    return _schemas(spark, [paths[:half]]) + _schemas(spark, [paths[half:]])
+
+
+def _writes(paths: list[str]) -> list[list[str]]:
+    """Files by the write that made them, in order; those whose names do not tell are one group."""
+    found: dict[str, list[str]] = {}
+    for path in paths:
+        known = _WRITE.search(path)
+        found.setdefault(known[1] if known else "", []).append(path)
+    return list(found.values())
 
 
 class SchemaStore:
@@ -113,7 +133,7 @@ class SchemaStore:
                 raise
             raise FileNotFoundError(f"no Parquet file under {self.folder}") from error
         if new:
-            rows = [(file, schema.json()) for group, schema in _schemas(self.spark, new) for file in group]
+            rows = [(file, schema.json()) for group, schema in _schemas(self.spark, _writes(new)) for file in group]
             self.spark.createDataFrame(rows, "file string, schema string").coalesce(1).write.mode("append").parquet(self.path)
             self._schema = None
         return self.known()

@@ -176,6 +176,32 @@ def test_files_that_disagree_among_themselves(spark, tmp_path):
     assert sorted(r["v"] for r in store.read().collect()) == ["0"] * 7 + ["1"] * 7
 
 
+def test_a_write_of_wide_files_beside_narrow_ones_fails_no_job(spark, tmp_path):
+    for kind in ("int", "long"):
+        spark.range(0, 40, 1, 20).select(F.col("id").cast(kind)).write.mode("append").parquet(str(tmp_path / "d"))
+    store, context = SchemaStore(spark, str(tmp_path / "d"), str(tmp_path / "kept")), spark.sparkContext
+    context.setJobGroup("beside", "refresh")
+    try:
+        assert store.refresh().simpleString() == "struct<id:bigint>"
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    states = [context.statusTracker().getJobInfo(job).status for job in context.statusTracker().getJobIdsForGroup("beside")]
+    assert 0 < len(states) < 20 and set(states) == {"SUCCEEDED"}
+    assert store.read().count() == 80
+
+
+def test_many_writes_and_files_of_unknown_writes_that_disagree(spark, tmp_path):
+    kinds = ["int"] * 5 + ["long", "int", "string", "long", "int", "int"]
+    for k, kind in enumerate(kinds):
+        spark.range(2).select(F.col("id").cast(kind).alias("v")).coalesce(1).write.mode("append").parquet(str(tmp_path / "d"))
+        for n in range(2):
+            spark.range(2).select(F.col("id").cast(kind).alias("v")).coalesce(1).write.parquet(str(tmp_path / f"w{k}{n}"))
+            next((tmp_path / f"w{k}{n}").glob("*.parquet")).rename(tmp_path / "d" / f"LOAD{k:02}{n}.parquet")
+    store = SchemaStore(spark, str(tmp_path / "d"), str(tmp_path / "kept"))
+    assert store.refresh().simpleString() == "struct<v:string>"
+    assert sorted(r["v"] for r in store.read().collect()) == ["0"] * 33 + ["1"] * 33
+
+
 @pytest.mark.parametrize(
     "a,b,want",
     [
