@@ -48,6 +48,26 @@ def test_suffix_dedup_at_every_kind_of_edge(spark):
     assert removed(remove_repeats(rows)) == Counter((r["doc_id"], *w) for r, w in zip(known, brute.repeats([r["text"] for r in known], 400)))
 
 
+def test_suffix_dedup_query_returns_what_is_left(spark, tmp_path):
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+    passage, short, own = words(60), words(45), [words(80) for _ in range(7)]
+    assert len(passage) >= 400 > len(short) + 2
+    texts = [f"{own[0]}<{passage}>{own[1]}", f"{own[2]}({passage})", f"{own[3]}<{short}>", f"({short}){own[4]}", own[5], None, ""]
+    texts += [f"é{passage[:410]}à", f"è{passage[:410]}á", own[6] + "ü"]  # the last characters of the copies share a byte
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op1_suffix_dedup"](spark, str(tmp_path)).collect()}
+    want = [f"{own[0]}<>{own[1]}", f"{own[2]}()", *texts[2:5], "", "", "é\ufffd", "è\ufffd", texts[9]]
+    assert [rows[k]["text"] for k in range(10)] == want
+    assert [rows[k]["changed"] for k in range(10)] == [k in (0, 1, 7, 8) for k in range(10)]
+    for k, r in rows.items():
+        assert r["n_kept"] == r["n_bytes"] - r["n_removed"]
+        if k not in (7, 8):
+            assert r["n_kept"] == len(r["text"].encode()) and r["kept_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest()
+    known = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for _, r in sorted(rows.items())]
+    assert known == [(k, *w) for k, w in enumerate(brute.repeats(texts, 400))]
+
+
 def test_equal_strings_share_a_sampled_triple():
     rng = np.random.default_rng(1)
     for _ in range(50):
